@@ -39,30 +39,30 @@ def spread_rank(
 ) -> DataFrame:
     """``rank()`` within ``keys`` (nulls last, ties share a rank) with no task holding a whole group.
 
-    Equal values are counted first, each group's value range is cut into slices, and a value's rank
-    is the rows in earlier slices plus those before it in its own slice. Only the small tables are
-    broadcast: one row per group and at most ``slices + 1`` per group, so ``keys`` must be
-    calendar-like (a year, a quarter, an indicator code) or empty.
+    Equal values are counted first, each group's distinct values are cut into slices at their
+    approximate quantiles, and a value's rank is the rows in earlier slices plus those before it in
+    its own slice. The rank is exact wherever the cuts fall; they only balance the slices, whatever
+    the values' distribution. The cuts, ``slices - 1`` numbers per group, are fixed on the driver
+    because a recomputed quantile may move; ``keys`` must be calendar-like (a year, a quarter, an
+    indicator code), which bounds them and the broadcast offsets.
     """
-    keys = list(keys)
+    group = list(keys)
+    if not group:
+        raise ValueError("rank within at least one key, such as the year")
     position = -F.col(value) if descending else F.col(value)
     counted = (
-        df.select(*keys, position.cast("double").alias("_pos"))
-        .withColumn("_group", F.lit(0))
-        .groupBy("_group", *keys, "_pos")
+        df.select(*group, position.alias("_pos"))
+        .groupBy(*group, "_pos")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    group = ["_group", *keys]
-    bounds = counted.groupBy(*group).agg(
-        F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"), F.sum("_n").alias("_rows")
-    )
-    width = F.col("_hi") - F.col("_lo")
-    placed = counted.join(F.broadcast(_rename(bounds, group, "_b")), _same(group, "_b")).withColumn(
+    steps = [i / slices for i in range(1, slices)]
+    found = counted.groupBy(*group).agg(F.percentile_approx("_pos", steps, 10 * slices).alias("_cuts"))
+    cuts = df.sparkSession.createDataFrame(found.collect(), found.schema)
+    placed = counted.join(F.broadcast(_rename(cuts, group, "_b")), _same(group, "_b")).withColumn(
         "_slice",
-        F.when(F.col("_pos").isNull(), F.lit(slices))
-        .when(width > 0, F.least(F.lit(slices - 1), F.floor((F.col("_pos") - F.col("_lo")) / width * slices)))
-        .otherwise(F.lit(0))
-        .cast("int"),
+        F.when(F.col("_pos").isNull(), F.lit(slices)).otherwise(
+            F.size(F.filter("_cuts", lambda cut: cut < F.col("_pos")))
+        ),
     )
     ahead = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -80,13 +80,13 @@ def spread_rank(
         placed.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
         .join(F.broadcast(_rename(offsets, sliced, "_o")), _same(sliced, "_o"))
         .select(
-            *[F.col(k).alias(f"_r{k}") for k in keys],
+            *[F.col(k).alias(f"_r{k}") for k in group],
             F.col("_pos").alias("_rpos"),
             (F.col("_before") + F.col("_inside") + F.lit(1)).cast("long").alias(rank),
         )
     )
-    match = F.col("_rpos").eqNullSafe(position.cast("double"))
-    for key in keys:
+    match = F.col("_rpos").eqNullSafe(position)
+    for key in group:
         match = match & F.col(f"_r{key}").eqNullSafe(F.col(key))
     return df.join(ranks, match).select(*df.columns, rank)
 

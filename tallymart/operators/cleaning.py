@@ -70,7 +70,8 @@ def clean_indicator(raw: DataFrame, spec: IndicatorSpec) -> DataFrame:
     """Typed long table with one row per ``spec.key``.
 
     Repeated national worksheets and a unit listed under two states collapse to the first copy by
-    state (blank last), then worksheet, then value, so the choice is the same on every run.
+    state (blank last), then worksheet, then value, then every other column, so the choice is the
+    same on every run.
     """
     columns: dict[str, Column] = {
         "financial_year": F.col("Year"),
@@ -97,8 +98,9 @@ def clean_indicator(raw: DataFrame, spec: IndicatorSpec) -> DataFrame:
     columns["flag_explanation"] = F.col("FlagExplanation")
 
     typed = raw.select(*[column.alias(name) for name, column in columns.items()], F.col("Worksheet").alias("_sheet"))
-    flag = "is_flagged" if spec.flag_as_boolean else "flag"
-    order = [F.asc_nulls_last(name) for name in ("state", "_sheet", "measure_value", flag, "flag_explanation")]
+    first = ["state", "_sheet", "measure_value"]
+    rest = [name for name in columns if name not in first and name not in spec.key]
+    order = [F.asc_nulls_last(name) for name in (*first, *rest)]
     return keep_first(typed, spec.key, order).drop("_sheet")
 
 

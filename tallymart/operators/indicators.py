@@ -288,7 +288,7 @@ def area_hotspots(
 
     ``areas`` as from ``area_table``. The baseline is the named year, and an area without a row in
     it (or a latest year without references) drops out. Latest and baseline rows of an area meet in
-    one aggregate; the rank over all areas is spread, since no key bounds it.
+    one aggregate; the rank over all areas (all of them in the one latest year) is spread.
     """
     areas = materialise(areas)
     latest = areas.agg(F.max("fy_end_year")).scalar()
@@ -324,7 +324,7 @@ def area_hotspots(
         .join(F.broadcast(references), "fy_end_year")
         .join(count_services(services, service_types), "area_name", "left")
     )
-    ranked = spread_rank(materialise(paired), [], "rate", "rank_highest_first", descending=True)
+    ranked = spread_rank(materialise(paired), ["fy_end_year"], "rate", "rank_highest_first", descending=True)
     rate = F.col("rate")
     return ranked.select(
         "financial_year",

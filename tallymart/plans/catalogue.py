@@ -314,7 +314,7 @@ def q_not_null(t):
 @query
 def q_accepted(t):
     allowed = ("Treatment concluded", "Client disengaged", "Referred on", "Open")
-    rows = Cleaned(t).episodes.filter(quality.not_accepted("completion_status", allowed))
+    rows = Cleaned(t).episodes_alone.filter(quality.not_accepted("completion_status", allowed))
     return rows.select("episode_id", "completion_status")
 
 
@@ -333,14 +333,14 @@ def q_unique_combo(t):
 
 @query
 def q_dates_in_order(t):
-    rows = Cleaned(t).episodes.filter(quality.dates_out_of_order())
+    rows = Cleaned(t).episodes_alone.filter(quality.dates_out_of_order())
     return rows.select("episode_id", "referral_date", "first_contact_date", "episode_end_date")
 
 
 @query
 def q_contact_window(t):
     c = Cleaned(t)
-    return quality.contacts_outside_episode(c.contacts, c.episodes, PARAMS.extract_date)
+    return quality.contacts_outside_episode(c.contacts, c.episodes_alone, PARAMS.extract_date)
 
 
 @query
@@ -351,7 +351,7 @@ def q_one_per_day(t):
 @query
 def q_first_contact(t):
     c = Cleaned(t)
-    return quality.first_contact_without_record(c.episodes, c.contacts)
+    return quality.first_contact_without_record(c.episodes_alone, c.contacts)
 
 
 @query

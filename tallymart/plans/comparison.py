@@ -430,7 +430,7 @@ SELECT "Year" AS financial_year, CAST(left("Year", 4) AS INTEGER) + 1 AS fy_end_
 FROM ers
 QUALIFY row_number() OVER (
     PARTITION BY "Year", "GeographicUnit", "GeographicCode", "TriageCategory", "HourED", "MeasureName"
-    ORDER BY state NULLS LAST, "Worksheet", measure_value NULLS LAST, is_flagged, flag_explanation NULLS LAST) = 1""",
+    ORDER BY state NULLS LAST, "Worksheet", measure_value NULLS LAST, geography_name, "GeographicGroup") = 1""",
     ),
     "clean_indicator_ages": _with(
         PPH_RELEASE,
@@ -447,7 +447,7 @@ SELECT "Year" AS financial_year, CAST(left("Year", 4) AS INTEGER) + 1 AS fy_end_
 FROM prs
 QUALIFY row_number() OVER (
     PARTITION BY "Year", "GeographicCode", "DemographicGroup", "PPHGroup", "PPHCondition", "MeasureName"
-    ORDER BY state NULLS LAST, "Worksheet", measure_value NULLS LAST, flag NULLS LAST, flag_explanation NULLS LAST) = 1""",
+    ORDER BY state NULLS LAST, "Worksheet", measure_value NULLS LAST, geography_level, geography_name, measure_name) = 1""",
     ),
     "clean_dedup": _with(DEDUP, f"SELECT {LINE_COLUMNS}, l_shipdate FROM dd"),
     "profile_release": "WITH "

@@ -2,8 +2,11 @@
 
 Orders stand for episodes, line items for contacts and measures, nations for providers and published
 units, regions for subregions and peer groups, suppliers for areas. Each function reads whole tables.
-Facts are counted per foreign key before the key is looked up, so a key that holds a large share of
-the rows reaches the join as a few rows.
+
+Line items are counted per supplier and year before the supplier is looked up: hundreds of rows per
+key become a few, a hot supplier too. Orders per customer are few, so counting first would shuffle
+them twice for nothing; they are joined as they are, and adaptive execution splits a hot customer's
+side of that join.
 """
 
 from __future__ import annotations
@@ -70,15 +73,22 @@ def fy_label(year: Column, dash: str = "-") -> Column:
 # Service tables.
 
 
-def raw_episodes(t: DriverTables) -> DataFrame:
+def raw_episodes(t: DriverTables, customers: bool = True) -> DataFrame:
+    """Orders as episodes; without ``customers`` the two columns looked up there are null."""
     referral, spread = F.col("o_orderdate").cast("date"), cents("o_totalprice")
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     waiting = (status == "P") & (priority == "5-LOW")
-    rows = t.orders.join(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"), F.expr("o_custkey = c_custkey"))
+    if customers:
+        looked_up = t.customer.select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("age_group"))
+        rows = t.orders.join(looked_up, F.expr("o_custkey = c_custkey"), "left")
+        provider = two_digits("P", "c_nationkey")
+    else:
+        provider = F.lit(None).cast("string")
+        rows = t.orders.withColumn("age_group", provider)
     return rows.select(
         F.col("o_orderkey").alias("episode_id"),
         F.col("o_custkey").alias("client_key"),
-        two_digits("P", "c_nationkey").alias("provider_code"),
+        provider.alias("provider_code"),
         referral.alias("referral_date"),
         F.when(~waiting, F.date_add(referral, (spread % 60).cast("int"))).alias("first_contact_date"),
         F.when(status == "F", F.date_add(referral, (spread % 400 - 20).cast("int"))).alias("episode_end_date"),
@@ -90,7 +100,7 @@ def raw_episodes(t: DriverTables) -> DataFrame:
         .otherwise("Treatment concluded")
         .alias("completion_status"),
         F.when(priority == "1-URGENT", "Yes").otherwise("No").alias("suicide_risk_referral"),
-        F.col("c_mktsegment").alias("age_group"),
+        "age_group",
         F.lit("Not stated").alias("sex"),
         F.lit("Not stated").alias("indigenous_status"),
         F.substring(priority, 1, 1).alias("iar_level"),
@@ -190,6 +200,8 @@ class Cleaned:
 
     def __init__(self, t: DriverTables):
         self.episodes = cleaning.clean_episodes(raw_episodes(t))
+        # For checks of an episode's own columns, which need no customer.
+        self.episodes_alone = cleaning.clean_episodes(raw_episodes(t, customers=False))
         self.contacts = cleaning.clean_contacts(raw_contacts(t))
         self.measures = cleaning.clean_measures(raw_measures(t))
         self.providers = cleaning.clean_providers(raw_providers(t))
@@ -238,11 +250,9 @@ def ed_indicator(t: DriverTables) -> DataFrame:
     """Clean long indicator: orders per 1,000 customers by unit, year and hour band."""
     after = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     by_nation = (
-        t.orders.groupBy("o_custkey", F.year("o_orderdate").alias("fy_end_year"))
+        t.orders.join(t.customer, F.expr("o_custkey = c_custkey"))
+        .groupBy(F.col("c_nationkey").alias("n_nationkey"), F.year("o_orderdate").alias("fy_end_year"))
         .agg(F.count(F.lit(1)).alias("all_hours"), count_where(after).alias("after_hours"))
-        .join(t.customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey")), F.expr("o_custkey = c_custkey"))
-        .groupBy("n_nationkey", "fy_end_year")
-        .agg(F.sum("all_hours").alias("all_hours"), F.sum("after_hours").alias("after_hours"))
         .withColumn("in_hours", F.col("all_hours") - F.col("after_hours"))
         .join(customers_by_nation(t), "n_nationkey")
     )
@@ -333,14 +343,15 @@ def pph_totals(t: DriverTables) -> DataFrame:
 def pph_conditions(t: DriverTables) -> DataFrame:
     """Clean long indicator: lines per 1,000 suppliers by unit, year, part type and brand."""
     by_nation = (
-        t.lineitem.groupBy("l_suppkey", "l_partkey", F.year("l_shipdate").alias("fy_end_year"))
-        .agg(F.count(F.lit(1)).alias("lines"))
-        .join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand"), "l_partkey")
-        .groupBy("l_suppkey", "fy_end_year", F.col("p_type").alias("pph_group"), F.col("p_brand").alias("pph_condition"))
-        .agg(F.sum("lines").alias("lines"))
+        t.lineitem.join(t.part, F.expr("l_partkey = p_partkey"))
         .join(supplier_nation(t), "l_suppkey")
-        .groupBy("n_nationkey", "fy_end_year", "pph_group", "pph_condition")
-        .agg(F.sum("lines").alias("lines"))
+        .groupBy(
+            "n_nationkey",
+            F.year("l_shipdate").alias("fy_end_year"),
+            F.col("p_type").alias("pph_group"),
+            F.col("p_brand").alias("pph_condition"),
+        )
+        .agg(F.count(F.lit(1)).alias("lines"))
     )
     wide = at_all_levels(t, by_nation, ["fy_end_year", "pph_group", "pph_condition"], ["lines"])
     value = F.when(F.col("lines") >= 2, F.col("lines") * F.lit(2.5))
@@ -362,11 +373,13 @@ def pph_ages(t: DriverTables) -> DataFrame:
         F.count(F.lit(1)).alias("population")
     )
     by_nation = (
-        t.orders.groupBy("o_custkey", F.year("o_orderdate").alias("fy_end_year"))
+        t.orders.join(t.customer, F.expr("o_custkey = c_custkey"))
+        .groupBy(
+            F.col("c_nationkey").alias("n_nationkey"),
+            F.year("o_orderdate").alias("fy_end_year"),
+            band.alias("demographic_group"),
+        )
         .agg(F.count(F.lit(1)).alias("orders"))
-        .join(t.customer, F.expr("o_custkey = c_custkey"))
-        .groupBy(F.col("c_nationkey").alias("n_nationkey"), "fy_end_year", band.alias("demographic_group"))
-        .agg(F.sum("orders").alias("orders"))
         .join(people, ["n_nationkey", "demographic_group"])
     )
     wide = at_all_levels(t, by_nation, ["fy_end_year", "demographic_group"], ["orders", "population"])

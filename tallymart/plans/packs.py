@@ -113,15 +113,19 @@ AREA_COLUMNS = {
     "population": POPULATION,
 }
 
+# Exports keep the geography's published column names.
+_AREA_NAMES = {"area_code": "sa3_code", "area_name": "sa3_name"}
+_GROUP_NAMES = {"peer_group_rate": "regional_group_rate", "gap_to_peer_group": "gap_to_regional"}
+
 EXPORTS = {
     "im01_pph": Export("im01_pph", ("geography_code", "pph_category", "fy_end_year")),
     "im01_age": Export("im01_age", ("geography_code", "age_group", "fy_end_year")),
-    "im01_conditions": Export("im01_conditions", ("pph_group", "pph_condition")),
-    "im01_sa3": Export("im01_sa3", ("area_name", "fy_end_year")),
+    "im01_conditions": Export("im01_conditions", ("pph_group", "pph_condition"), rename=_GROUP_NAMES),
+    "im01_sa3": Export("im01_sa3", ("area_name", "fy_end_year"), rename=_AREA_NAMES),
     "im02_lower_urgency": Export("im02_lower_urgency", ("geography_code", "hour_band", "fy_end_year")),
-    "im02_sa3": Export("lower_urgency_ed_sa3", ("area_name", "fy_end_year")),
-    "im02_sa3_hotspots": Export("im02_sa3_hotspots", ("rank_highest_first",)),
-    "peer_comparison": Export("peer_comparison", ("indicator_code", "rank_lowest_first")),
+    "im02_sa3": Export("lower_urgency_ed_sa3", ("area_name", "fy_end_year"), rename=_AREA_NAMES),
+    "im02_sa3_hotspots": Export("im02_sa3_hotspots", ("rank_highest_first",), rename=_AREA_NAMES),
+    "peer_comparison": Export("peer_comparison", ("indicator_code", "rank_lowest_first"), rename=_GROUP_NAMES),
     "criteria_check": Export("criteria_check", ("indicator_code", "criterion_level", "fy_end_year")),
     "indicator_spec": Export("framework_indicator_spec", ("indicator_code",), layer="reference"),
     "service_locations": Export("service_locations", ("service_type", "location"), layer="reference"),
