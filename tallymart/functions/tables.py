@@ -35,16 +35,19 @@ def spread_rank(
     rank: str,
     *,
     descending: bool = False,
-    slices: int = 256,
+    blocks: int = 16,
 ) -> DataFrame:
     """``rank()`` within ``keys`` (nulls last, ties share a rank) with no task holding a whole group.
 
     Equal values are counted first, each group's distinct values are cut into slices at their
     approximate quantiles, and a value's rank is the rows in earlier slices plus those before it in
     its own slice. The rank is exact wherever the cuts fall; they only balance the slices, whatever
-    the values' distribution. The cuts, ``slices - 1`` numbers per group, are fixed on the driver
-    because a recomputed quantile may move; ``keys`` must be calendar-like (a year, a quarter, an
-    indicator code), which bounds them and the broadcast offsets.
+    the values' distribution. There are ``blocks`` blocks of ``blocks`` slices; a value finds its
+    block first and its slice within it next.
+
+    The cuts, ``blocks ** 2 - 1`` numbers per group, are fixed on the driver because a recomputed
+    quantile may move. ``keys`` must be calendar-like (a year, a quarter, an indicator code), which
+    bounds the cuts and the broadcast offsets.
     """
     group = list(keys)
     if not group:
@@ -55,14 +58,21 @@ def spread_rank(
         .groupBy(*group, "_pos")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    slices = blocks**2
     steps = [i / slices for i in range(1, slices)]
-    found = counted.groupBy(*group).agg(F.percentile_approx("_pos", steps, 10 * slices).alias("_cuts"))
-    cuts = df.sparkSession.createDataFrame(found.collect(), found.schema)
-    placed = counted.join(F.broadcast(_rename(cuts, group, "_b")), _same(group, "_b")).withColumn(
-        "_slice",
-        F.when(F.col("_pos").isNull(), F.lit(slices)).otherwise(
-            F.size(F.filter("_cuts", lambda cut: cut < F.col("_pos")))
-        ),
+    found = (
+        counted.groupBy(*group)
+        .agg(F.percentile_approx("_pos", steps, 10 * slices).alias("_cuts"))
+        .withColumn("_starts", F.array(*[F.col("_cuts")[i * blocks - 1] for i in range(1, blocks)]))
+    )
+    cuts = df.sparkSession.createDataFrame(found.toArrow(), found.schema)
+    block = F.size(F.filter("_starts", lambda cut: cut < F.col("_pos")))
+    inside_block = F.filter(F.slice("_cuts", F.col("_block") * blocks + 1, blocks - 1), lambda cut: cut < F.col("_pos"))
+    placed = (
+        counted.join(F.broadcast(_rename(cuts, group, "_b")), _same(group, "_b"))
+        .withColumn("_block", F.when(F.col("_pos").isNotNull(), block))
+        .withColumn("_slice", F.coalesce(F.col("_block") * blocks + F.size(inside_block), F.lit(slices)))
+        .select(*group, "_pos", "_n", "_slice")
     )
     ahead = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -286,11 +286,11 @@ def area_hotspots(
 ) -> DataFrame:
     """Areas in the latest year against the baseline year, both references and their services.
 
-    ``areas`` as from ``area_table``. The baseline is the named year, and an area without a row in
-    it (or a latest year without references) drops out. Latest and baseline rows of an area meet in
-    one aggregate; the rank over all areas (all of them in the one latest year) is spread.
+    ``areas`` as from ``area_table``, best a written table since it is read twice. The baseline is
+    the named year, and an area without a row in it (or a latest year without references) drops out.
+    Latest and baseline rows of an area meet in one aggregate; the rank over all areas (all of them
+    in the one latest year) is spread.
     """
-    areas = materialise(areas)
     latest = areas.agg(F.max("fy_end_year")).scalar()
     is_base = F.col("fy_end_year") == params.baseline_fy
     is_latest = F.col("fy_end_year") == F.col("latest_fy")

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,12 +49,35 @@ PARAMS = Params(
 SMALLEST_PUBLISHED = 20
 
 
+# Stated schemas, so that opening a table starts no job to read a footer.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 class DriverTables:
+    """The tables of one folder, each opened at first use."""
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in SCHEMAS:
+            raise AttributeError(name)
+        table = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def cents(name: str) -> Column:
@@ -196,16 +220,35 @@ def services(t: DriverTables) -> DataFrame:
 
 
 class Cleaned:
-    """Typed service tables of one folder."""
+    """Typed service tables of one folder, each made at first use."""
 
     def __init__(self, t: DriverTables):
-        self.episodes = cleaning.clean_episodes(raw_episodes(t))
-        # For checks of an episode's own columns, which need no customer.
-        self.episodes_alone = cleaning.clean_episodes(raw_episodes(t, customers=False))
-        self.contacts = cleaning.clean_contacts(raw_contacts(t))
-        self.measures = cleaning.clean_measures(raw_measures(t))
-        self.providers = cleaning.clean_providers(raw_providers(t))
-        self.subregions = cleaning.clean_subregions(raw_subregions(t))
+        self.t = t
+
+    @cached_property
+    def episodes(self) -> DataFrame:
+        return cleaning.clean_episodes(raw_episodes(self.t))
+
+    @cached_property
+    def episodes_alone(self) -> DataFrame:
+        """For checks of an episode's own columns, which need no customer."""
+        return cleaning.clean_episodes(raw_episodes(self.t, customers=False))
+
+    @cached_property
+    def contacts(self) -> DataFrame:
+        return cleaning.clean_contacts(raw_contacts(self.t))
+
+    @cached_property
+    def measures(self) -> DataFrame:
+        return cleaning.clean_measures(raw_measures(self.t))
+
+    @cached_property
+    def providers(self) -> DataFrame:
+        return cleaning.clean_providers(raw_providers(self.t))
+
+    @cached_property
+    def subregions(self) -> DataFrame:
+        return cleaning.clean_subregions(raw_subregions(self.t))
 
 
 # Indicator tables.

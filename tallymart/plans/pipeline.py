@@ -117,7 +117,6 @@ def build_marts(t: Mapping[str, DataFrame], params: Params, save=lambda name, df
         fact.build_episode_fact(
             t["episodes"], rollups.pivot_outcomes(t["measures"]), rollups.rollup_contacts(t["contacts"]), params
         ),
-        bucket_by="episode_id",
     )
     put("kpi_provider_quarterly", kpis.kpi_quarterly(episodes, providers))
     put("kpi_provider_scorecard", kpis.kpi_scorecard(episodes, providers, params))
@@ -281,21 +280,35 @@ def read_raw(spark: SparkSession, service: str, seeds: str, ed_extract: str, pph
     return raw
 
 
+EPISODE_TABLES = ("episodes", "contacts", "measures")
+
+
 def build(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
     params: Params,
     export_to: str | None = None,
     *,
+    staging_tables: bool = True,
+    episode_buckets: int | None = None,
     checks_on_marts: list[Check] | None = None,
 ) -> dict[str, DataFrame]:
-    """Stage, gate, write the marts, gate again, export. A failing check stops what follows it."""
+    """Stage, gate, write the marts, gate again, export. A failing check stops what follows it.
+
+    Staging is written once by default: as views every check and mart would parse the raw files
+    again. ``episode_buckets`` buckets the three episode tables by episode, so that their rollups,
+    joins and key checks do not shuffle.
+    """
     create_layers(spark)
     seeds = {name: publish_table(raw[name], "reference", name) for name in schemas.SEEDS}
     staged = stage(raw) | seeds
     staged["service_locations"] = cleaning.clean_services(seeds["service_locations"])
     for name, df in staged.items():
-        publish_view(df, "staging", name)
+        if staging_tables and name not in seeds:
+            layout = {"bucket_by": "episode_id", "buckets": episode_buckets} if episode_buckets else {}
+            staged[name] = publish_table(df, "staging", name, **(layout if name in EPISODE_TABLES else {}))
+        else:
+            publish_view(df, "staging", name)
     gate(staged, staging_checks(params))
     marts = build_marts(staged, params, lambda name, df, **layout: publish_table(df, "marts", name, **layout))
     gate(marts | staged, mart_checks(params) if checks_on_marts is None else checks_on_marts)

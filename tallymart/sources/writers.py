@@ -41,13 +41,16 @@ def publish_table(
     *,
     partition_by: Sequence[str] = (),
     bucket_by: str | None = None,
-    buckets: int = 8,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Write a mart and return it as a table.
+    """Write a table of a layer and return it.
 
-    Facts are best bucketed by their join key (later joins and rollups on it do not shuffle) and
-    indicator tables partitioned by year (a year filter reads one folder).
+    Episodes, contacts and measures are best bucketed by episode: rollups and the fact's joins then
+    do not shuffle. ``buckets`` follows from the data (a bucket should fit a task), so it has no
+    default. Indicator tables are best partitioned by year: a year filter reads one folder.
     """
+    if (bucket_by is None) != (buckets is None):
+        raise ValueError("give bucket_by and buckets together")
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -43,7 +43,7 @@ def test_spread_rank_equals_the_window_rank(spark, descending):
     df = spark.createDataFrame(rows, "id int, y int, v double")
     order = F.desc_nulls_last("v") if descending else F.asc_nulls_last("v")
     expected = df.withColumn("r", F.rank().over(Window.partitionBy("y").orderBy(order)))
-    got = spread_rank(df, ["y"], "v", "r", descending=descending, slices=16)
+    got = spread_rank(df, ["y"], "v", "r", descending=descending, blocks=4)
     assert {(r.id, r.r) for r in got.collect()} == {(r.id, r.r) for r in expected.collect()}
     assert got.count() == len(rows)
 
