@@ -39,66 +39,56 @@ def spread_rank(
 ) -> DataFrame:
     """``rank()`` within ``keys`` (nulls last, ties share a rank) with no task holding a whole group.
 
-    Equal values are counted first, each group's distinct values are cut into slices at their
-    approximate quantiles, and a value's rank is the rows in earlier slices plus those before it in
-    its own slice. The rank is exact wherever the cuts fall; they only balance the slices, whatever
-    the values' distribution. There are ``blocks`` blocks of ``blocks`` slices; a value finds its
-    block first and its slice within it next.
+    Each group's values are cut at their approximate quantiles, ``blocks`` blocks of ``blocks``
+    slices; a row finds its block first and its slice within it next. Its rank is the rows in earlier
+    slices plus its rank in its own slice, exact wherever the cuts fall. A value common enough to
+    fill a slice is itself a cut: rows equal to a cut, and nulls, form slices of their own whose rows
+    all tie, so these are salted over many tasks. The rows are shuffled once.
 
     The cuts, ``blocks ** 2 - 1`` numbers per group, are fixed on the driver because a recomputed
     quantile may move. ``keys`` must be calendar-like (a year, a quarter, an indicator code), which
-    bounds the cuts and the broadcast offsets.
+    bounds the cuts and the broadcast offsets. ``df`` is read three times, twice for ``keys`` and
+    ``value`` only: best a written table.
     """
     group = list(keys)
     if not group:
         raise ValueError("rank within at least one key, such as the year")
     position = -F.col(value) if descending else F.col(value)
-    counted = (
-        df.select(*group, position.alias("_pos"))
-        .groupBy(*group, "_pos")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
     slices = blocks**2
-    steps = [i / slices for i in range(1, slices)]
     found = (
-        counted.groupBy(*group)
-        .agg(F.percentile_approx("_pos", steps, 10 * slices).alias("_cuts"))
+        df.groupBy(*group)
+        .agg(F.percentile_approx(position, [i / slices for i in range(1, slices)], 10 * slices).alias("_cuts"))
         .withColumn("_starts", F.array(*[F.col("_cuts")[i * blocks - 1] for i in range(1, blocks)]))
     )
     cuts = df.sparkSession.createDataFrame(found.toArrow(), found.schema)
-    block = F.size(F.filter("_starts", lambda cut: cut < F.col("_pos")))
-    inside_block = F.filter(F.slice("_cuts", F.col("_block") * blocks + 1, blocks - 1), lambda cut: cut < F.col("_pos"))
+
+    def below(numbers) -> Column:
+        return F.size(F.filter(numbers, lambda cut: cut < F.col("_pos")))
+
+    is_null = F.col("_pos").isNull()
     placed = (
-        counted.join(F.broadcast(_rename(cuts, group, "_b")), _same(group, "_b"))
-        .withColumn("_block", F.when(F.col("_pos").isNotNull(), block))
-        .withColumn("_slice", F.coalesce(F.col("_block") * blocks + F.size(inside_block), F.lit(slices)))
-        .select(*group, "_pos", "_n", "_slice")
+        df.withColumn("_pos", position)
+        .join(F.broadcast(_rename(cuts, group, "_b")), _same(group, "_b"))
+        .withColumn("_block", below("_starts") * blocks)
+        .withColumn("_below", F.col("_block") + below(F.slice("_cuts", F.col("_block") + 1, blocks - 1)))
+        .withColumn("_tied", F.coalesce(F.get("_cuts", F.col("_below")) == F.col("_pos"), is_null))
+        .withColumn("_slice", F.when(is_null, 2 * slices).otherwise(2 * F.col("_below") + F.col("_tied").cast("int")))
     )
     ahead = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sliced = [*group, "_slice"]
     offsets = (
-        placed.groupBy(*group, "_slice")
-        .agg(F.sum("_n").alias("_m"))
-        .select(*group, "_slice", F.coalesce(F.sum("_m").over(ahead), F.lit(0)).alias("_before"))
-    )
-    inside = (
-        Window.partitionBy(*group, "_slice")
-        .orderBy(F.asc_nulls_last("_pos"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+        placed.groupBy(*sliced)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*sliced, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
     )
-    sliced = [*group, "_slice"]
-    ranks = (
-        placed.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    salt = F.when(F.col("_tied"), F.pmod(F.hash(*df.columns), F.lit(slices))).otherwise(F.lit(0))
+    inside = Window.partitionBy(*sliced, "_salt").orderBy(F.asc_nulls_last("_pos"))
+    return (
+        placed.select(*df.columns, "_pos", "_slice", salt.alias("_salt"))
+        .withColumn("_inside", F.rank().over(inside))
         .join(F.broadcast(_rename(offsets, sliced, "_o")), _same(sliced, "_o"))
-        .select(
-            *[F.col(k).alias(f"_r{k}") for k in group],
-            F.col("_pos").alias("_rpos"),
-            (F.col("_before") + F.col("_inside") + F.lit(1)).cast("long").alias(rank),
-        )
+        .select(*df.columns, (F.col("_ahead") + F.col("_inside")).cast("long").alias(rank))
     )
-    match = F.col("_rpos").eqNullSafe(position)
-    for key in group:
-        match = match & F.col(f"_r{key}").eqNullSafe(F.col(key))
-    return df.join(ranks, match).select(*df.columns, rank)
 
 
 def _rename(df: DataFrame, names: Sequence[str], prefix: str) -> DataFrame:

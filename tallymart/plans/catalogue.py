@@ -31,6 +31,7 @@ from tallymart.plans.driver_tables import (
     PPH_SCOPE,
     Cleaned,
     DriverTables,
+    area_indicator,
     area_map,
     ed_indicator,
     long_areas,
@@ -39,9 +40,9 @@ from tallymart.plans.driver_tables import (
     pph_totals,
     raw_ed_release,
     raw_pph_release,
+    raw_supplier_providers,
     reference_rates,
     services,
-    single_rate_areas,
     supplier_years,
     unit_map,
     wide_areas,
@@ -81,8 +82,17 @@ def outcome_pivot(t):
     return rollups.pivot_outcomes(Cleaned(t).measures)
 
 
+@query
+def clean_contacts(t):
+    return Cleaned(t).contacts
+
+
 @query
 def dim_provider(t):
+    return dimensions.dim_provider(cleaning.clean_providers(raw_supplier_providers(t)), Cleaned(t).subregions)
+
+
+def nation_providers(t) -> DataFrame:
     c = Cleaned(t)
     return dimensions.dim_provider(c.providers, c.subregions)
 
@@ -102,19 +112,19 @@ def episode_fact(t):
 
 @query
 def kpi_quarterly(t):
-    return kpis.kpi_quarterly(episode_fact(t), dim_provider(t))
+    return kpis.kpi_quarterly(episode_fact(t), nation_providers(t))
 
 
 @query
 def kpi_scorecard(t):
-    return kpis.kpi_scorecard(episode_fact(t), dim_provider(t), PARAMS)
+    return kpis.kpi_scorecard(episode_fact(t), nation_providers(t), PARAMS)
 
 
 @query
 def service_reach(t):
     return kpis.service_reach(
         episode_fact(t),
-        dim_provider(t),
+        nation_providers(t),
         dim_subregion(t),
         ed_indicator(t),
         unit_map(t),
@@ -234,11 +244,17 @@ def area_pivot(t):
     )
 
 
+@query
+def area_rates(t):
+    return indicators.area_rates(area_indicator(supplier_years(t)), area_map(t), CODES)
+
+
 @query
 def area_trend(t):
     years = materialise(supplier_years(t))
     references = indicators.yearly_references(reference_rates(years), CODES)
-    return indicators.area_trend(single_rate_areas(years), references)
+    rates = indicators.area_rates(area_indicator(years), area_map(t), CODES)
+    return indicators.area_trend(rates, references)
 
 
 @query

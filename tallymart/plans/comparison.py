@@ -378,7 +378,18 @@ COMPARISON_SQL: dict[str, str] = {
     "clean_measures": _with(MEASURES, "SELECT * FROM ms"),
     "contact_rollup": _with(f"{CONTACTS},{CONTACT_ROLLUP}", "SELECT * FROM crl"),
     "outcome_pivot": _with(f"{MEASURES},{OUTCOMES}", "SELECT * FROM oc"),
-    "dim_provider": _with(PROVIDERS, "SELECT * FROM pv"),
+    "clean_contacts": """
+SELECT l_orderkey || '-' || l_linenumber AS contact_id, l_orderkey AS episode_id, CAST(l_shipdate AS DATE) AS contact_date,
+       l_linestatus AS modality, CAST(l_quantity AS INTEGER) AS duration_minutes, l_returnflag IN ('A', 'N') AS is_attended
+FROM lineitem""",
+    "dim_provider": """
+SELECT s_suppkey AS provider_code, s_name AS provider_label,
+       CASE WHEN s_acctbal >= 6000 THEN 'Clinical care coordination' WHEN s_acctbal >= 3000 THEN 'Low intensity'
+            WHEN s_acctbal >= 0 THEN 'Youth enhanced services' ELSE 'Psychological therapies' END AS program_type,
+       CASE WHEN s_acctbal >= 9500 THEN 'ELSEWHERE' ELSE r_name END AS subregion,
+       CASE WHEN s_acctbal >= 9500 THEN NULL WHEN r_regionkey IN (0, 1) THEN 'West' ELSE 'East' END AS region,
+       CAST(floor(abs(s_acctbal)) AS INTEGER) AS annual_episode_target, 'DRIVER' AS data_source
+FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "dim_subregion": _with(
         SUBREGIONS,
         """SELECT sr.*, (SELECT count(*) FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name = sr.subregion) AS area_count,
@@ -511,6 +522,12 @@ SELECT CAST(year(l_shipdate) - 1 AS VARCHAR) || '-' || right(CAST(year(l_shipdat
 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
 WHERE l_tax >= 0.04
 GROUP BY year(l_shipdate), s_suppkey, s_name, r_name""",
+    "area_rates": _with(
+        SUPPLIER_YEARS,
+        """
+SELECT fy_end_year, financial_year, l_suppkey AS area_code, s_name AS area_name, r_name AS subregion, rate,
+       CASE WHEN flagged THEN '*' END AS flag FROM ar""",
+    ),
     "area_trend": _with(
         f"""{SUPPLIER_YEARS},
 fst AS (SELECT a.l_suppkey, a.rate FROM ar a WHERE a.fy_end_year = (SELECT min(b.fy_end_year) FROM ar b WHERE b.l_suppkey = a.l_suppkey))""",

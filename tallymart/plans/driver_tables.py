@@ -181,6 +181,22 @@ def raw_providers(t: DriverTables) -> DataFrame:
     )
 
 
+def raw_supplier_providers(t: DriverTables) -> DataFrame:
+    """Suppliers as providers, for the dimension by itself."""
+    types = packs.PROGRAM_TYPES
+    balance = F.col("s_acctbal")
+    return t.supplier.join(nations(t), F.expr("s_nationkey = n_nationkey"), "left").select(
+        F.col("s_suppkey").alias("provider_code"),
+        F.col("s_name").alias("provider_label"),
+        F.when(balance < 0, types[0]).when(balance < 3000, types[1]).when(balance < 6000, types[2]).otherwise(types[3]).alias(
+            "program_type"
+        ),
+        F.when(balance < 9500, F.col("r_name")).otherwise("ELSEWHERE").alias("subregion"),
+        F.floor(F.abs(balance)).cast("string").alias("annual_episode_target"),
+        F.lit("DRIVER").alias("data_source"),
+    )
+
+
 def raw_subregions(t: DriverTables) -> DataFrame:
     people = (
         t.customer.groupBy("c_nationkey")
@@ -475,14 +491,19 @@ def wide_areas(years: DataFrame) -> DataFrame:
     )
 
 
-def single_rate_areas(years: DataFrame) -> DataFrame:
+def area_indicator(years: DataFrame) -> DataFrame:
+    """Clean long indicator at area level: one rate per supplier and year."""
+    value = ratio(F.col("price"), F.col("lines"))
     return years.select(
         "fy_end_year",
         fy_label(F.col("fy_end_year")).alias("financial_year"),
-        F.col("l_suppkey").alias("area_code"),
-        F.col("s_name").alias("area_name"),
-        F.col("r_name").alias("subregion"),
-        ratio(F.col("price"), F.col("lines")).alias("rate"),
+        F.lit(CODES.area_level).alias("geography_level"),
+        F.col("l_suppkey").alias("geography_code"),
+        F.col("s_name").alias("geography_name"),
+        F.lit("All persons").alias("demographic_group"),
+        F.lit("Total PPH").alias("pph_condition"),
+        F.lit("rate_age_standardised").alias("measure_type"),
+        value.alias("measure_value"),
         F.when(F.col("is_flagged"), "*").alias("flag"),
     )
 

@@ -12,8 +12,8 @@ from tallymart.operators.quality import Check, accepted, gate, not_null, related
 from tallymart.params import Params
 from tallymart.plans import packs
 from tallymart.sources import schemas
-from tallymart.sources.readers import read_folder, read_text
-from tallymart.sources.writers import create_layers, export_marts, publish_table, publish_view
+from tallymart.sources.readers import read_csv, read_folder, read_text
+from tallymart.sources.writers import Export, create_layers, export_marts, publish_table, publish_view
 
 ED, PPH = "lower_urgency_ed", "pph"
 
@@ -315,3 +315,14 @@ def build(
     if export_to:
         export_marts(spark, export_to, packs.EXPORTS)
     return marts
+
+
+def export_drift(
+    spark: SparkSession, folder: str, exports: Mapping[str, Export] = packs.EXPORTS
+) -> dict[str, DataFrame]:
+    """For each export, the rows by which the files in ``folder`` differ from the current marts."""
+    found = {}
+    for name, export in exports.items():
+        current = spark.table(f"{export.layer}.{export.table}").withColumnsRenamed(dict(export.rename))
+        found[name] = quality.drift(read_csv(spark, f"{folder.rstrip('/')}/{name}", current.schema), current)
+    return found

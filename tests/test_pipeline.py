@@ -4,6 +4,7 @@ import csv
 import datetime as dt
 import glob
 import os
+from dataclasses import replace
 
 import pytest
 
@@ -124,6 +125,12 @@ def test_build_writes_checks_and_exports(spark, folders, tmp_path):
     parts = sorted(glob.glob(f"{tmp_path}/out/im01_sa3/*.csv"))
     exported = [row for part in parts for row in csv.DictReader(open(part, encoding="utf-8"))]
     assert [(r["sa3_name"], r["fy_end_year"]) for r in exported] == [(a, str(y)) for a in AREAS for y in YEARS]
+    drifted = pipeline.export_drift(spark, str(tmp_path / "out"))
+    assert {name: df.count() for name, df in drifted.items()} == dict.fromkeys(packs.EXPORTS, 0)
+    publish_table(marts["im01_age"].filter("age_group = '65+'"), "marts", "fewer")
+    fewer = pipeline.export_drift(spark, str(tmp_path / "out"), {"im01_age": replace(packs.EXPORTS["im01_age"], table="fewer")})
+    assert {r.side for r in fewer["im01_age"].collect()} == {"committed only"}
+    assert fewer["im01_age"].count() == 9
 
 
 def test_bucketed_episode_tables_join_without_a_shuffle(spark, folders):
