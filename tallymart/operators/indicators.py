@@ -134,8 +134,9 @@ def benchmark_unit(rates: DataFrame, codes: GeographyCodes) -> DataFrame:
     is_unit = (F.col("geography_level") == codes.unit_level) & rate.isNotNull()
     is_focus = is_unit & (F.col("geography_code") == codes.unit)
     is_national = F.col("geography_level") == codes.national_level
+    published = rates.filter(F.col("geography_level").isin(codes.unit_level, codes.national_level))
     yearly = (
-        rates.withColumn("focus_rate", F.max(F.when(is_focus, rate)).over(year))
+        published.withColumn("focus_rate", F.max(F.when(is_focus, rate)).over(year))
         .groupBy("fy_end_year")
         .agg(
             max_where(F.col("financial_year"), is_focus).alias("financial_year"),

@@ -126,7 +126,7 @@ def service_reach(t):
         episode_fact(t),
         nation_providers(t),
         dim_subregion(t),
-        ed_indicator(t),
+        materialise(ed_indicator(t)),
         unit_map(t),
         PARAMS,
         level=CODES.unit_level,
@@ -407,11 +407,11 @@ def q_rows_complete(t):
     return quality.wrong_row_count(indicator_trend_band(t), (CODES.unit, CODES.national), 48)
 
 
-def published_values(t) -> DataFrame:
-    """National and unit rates to one decimal; the last year is off by one and a band is unknown."""
-    rates = band_rates(t).filter(F.col("geography_code").isin(CODES.unit, CODES.national) & F.col("rate").isNotNull())
+def published_values(rates: DataFrame) -> DataFrame:
+    """National and unit rates cut to eighths; the last year is off by one and a band is unknown."""
+    rows = rates.filter(F.col("geography_code").isin(CODES.unit, CODES.national) & F.col("rate").isNotNull())
     off = F.when(F.col("fy_end_year") >= 2001, F.lit(1.0)).otherwise(F.lit(0.0))
-    return rates.select(
+    return rows.select(
         F.lit("IM-02").alias("indicator_code"),
         "geography_code",
         "fy_end_year",
@@ -422,7 +422,9 @@ def published_values(t) -> DataFrame:
 
 @query
 def q_reconcile(t):
-    return quality.unreconciled(published_values(t), {"hour_band": indicator_trend_band(t)}, 0.1)
+    rates = materialise(band_rates(t))
+    trend = indicators.indicator_trend(rates, "hour_band", "IM-02", CODES)
+    return quality.unreconciled(published_values(rates), {"hour_band": trend}, 0.1)
 
 
 @query

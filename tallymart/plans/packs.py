@@ -31,6 +31,7 @@ BAND_SEPARATOR = " lower urgency"
 LOWER_URGENCY_TRIAGE = "TC4+5"
 ALL_HOURS = "All-hours"
 
+# Measure labels and condition totals of the second release.
 PPH_MEASURES = {
     "Hospitalisations per 100,000 people (age-standardised)": "rate_age_standardised",
     "Hospitalisations per 100,000 people (crude)": "rate_crude",
@@ -39,6 +40,7 @@ PPH_MEASURES = {
 }
 PPH_TOTALS = ("Total PPH", "Total acute", "Total chronic", "Total vaccine-preventable")
 
+# Measure types by label pattern, first match wins.
 ED_MEASURE_PATTERNS = (
     ("%age-standardised", "rate_age_standardised"),
     ("%per 1,000 population", "rate_crude"),
@@ -46,6 +48,7 @@ ED_MEASURE_PATTERNS = (
     ("Estimated resident population", "population"),
 )
 
+# Codes the service tables may hold.
 PROGRAM_TYPES = ("Psychological therapies", "Youth enhanced services", "Low intensity", "Clinical care coordination")
 STATUSES = (
     "Treatment concluded",
@@ -59,6 +62,7 @@ SERVICE_TYPES = {
     "urgent_care_clinics": "Medicare Urgent Care Clinic",
     "after_hours_services": "Commissioned after hours service",
 }
+# Columns profiled before scoping.
 PROFILE_COLUMNS = (
     "Worksheet",
     "Year",

@@ -20,12 +20,32 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "tallymart", master: str | None = None, **settings: str) -> SparkSession:
-    """Session with the settings above; keyword settings use ``__`` for dots and win over them."""
+# A reduce task reads about this much of the largest shuffle; smaller shuffles are coalesced to it.
+SHUFFLE_TASK_BYTES = 256 * 1024**2
+
+
+def shuffle_settings(largest_shuffle_bytes: int) -> dict[str, str]:
+    """Enough partitions for the largest shuffle to fit its tasks; the rest merge at run time."""
+    partitions = max(200, -(-largest_shuffle_bytes // SHUFFLE_TASK_BYTES))
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_TASK_BYTES),
+    }
+
+
+def build_session(
+    app: str = "tallymart", master: str | None = None, largest_shuffle_bytes: int | None = None, **settings: str
+) -> SparkSession:
+    """Session with the settings above; keyword settings use ``__`` for dots and win over them.
+
+    ``largest_shuffle_bytes`` is an estimate, for example of the contacts' key and flag columns.
+    """
+    chosen = SETTINGS | (shuffle_settings(largest_shuffle_bytes) if largest_shuffle_bytes else {})
+    chosen |= {key.replace("__", "."): value for key, value in settings.items()}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in (SETTINGS | {k.replace("__", "."): v for k, v in settings.items()}).items():
+    for key, value in chosen.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -14,7 +14,7 @@ from tallymart.operators.quality import QualityGateError
 from tallymart.operators.rollups import pivot_outcomes, rollup_contacts
 from tallymart.operators.scoping import scope_release
 from tallymart.plans import packs, pipeline
-from tallymart.session import materialise
+from tallymart.session import materialise, shuffle_settings
 from tallymart.sources import schemas
 from tallymart.sources.readers import read_csv, read_mart, read_release, read_text
 from tallymart.sources.writers import publish_table, write_extract
@@ -206,3 +206,9 @@ def test_materialise_keeps_rows_and_schema(spark):
     kept = materialise(df)
     assert kept.schema.simpleString() == df.schema.simpleString() and kept.exceptAll(df).count() == 0
     assert "Range" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffles_are_sized_by_their_bytes():
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert shuffle_settings(1)[initial] == "200"
+    assert shuffle_settings(10 * 1024**4)[initial] == "40960"
