@@ -46,9 +46,12 @@ class ScopeSpec:
 
 
 def in_scope(spec: ScopeSpec) -> Column:
-    """The scope as one predicate on the raw columns, so a columnar scan can push it down."""
+    """The scope as one predicate on the raw columns, so a columnar scan can push it down.
+
+    A blank state makes its comparison null, which a filter drops like false.
+    """
     state = F.col(spec.state_column)
-    in_state = F.coalesce(state, F.lit("")).contains(spec.state) if spec.state_contains else state == spec.state
+    in_state = state.contains(spec.state) if spec.state_contains else state == spec.state
     geography = F.col(spec.level).isin(*spec.wide_levels) | (
         (F.col(spec.level) == spec.area_level) & in_state & F.col(spec.area).isin(with_dash_forms(spec.areas))
     )

@@ -98,7 +98,7 @@ def staging_checks(params: Params) -> list[Check]:
     ]
 
 
-def build_marts(t: Mapping[str, DataFrame], params: Params, save=lambda name, df, **layout: df) -> dict[str, DataFrame]:
+def build_marts(t: Mapping[str, DataFrame], params: Params, save=lambda name, df: df) -> dict[str, DataFrame]:
     """Every mart, each handed to ``save`` before the next reads it.
 
     ``save`` returns what later marts read: the frame itself, or the table it was written to, so
@@ -106,8 +106,8 @@ def build_marts(t: Mapping[str, DataFrame], params: Params, save=lambda name, df
     """
     codes, marts = params.codes, {}
 
-    def put(name: str, df: DataFrame, **layout) -> DataFrame:
-        marts[name] = save(name, df, **layout)
+    def put(name: str, df: DataFrame) -> DataFrame:
+        marts[name] = save(name, df)
         return marts[name]
 
     providers = put("dim_provider", dimensions.dim_provider(t["providers"], t["subregions"]))
@@ -151,7 +151,6 @@ def build_marts(t: Mapping[str, DataFrame], params: Params, save=lambda name, df
         rollups.area_table(
             t[ED], t["area_map"], packs.AREA_COLUMNS, codes.area_level, packs.LOWER_URGENCY_TRIAGE
         ),
-        partition_by=("fy_end_year",),
     )
     by_band = put(
         "im02_lower_urgency",
@@ -297,7 +296,7 @@ def build(
 
     Staging is written once by default: as views every check and mart would parse the raw files
     again. ``episode_buckets`` buckets the three episode tables by episode, so that their rollups,
-    joins and key checks do not shuffle.
+    joins and key checks do not shuffle; the indicators are partitioned by year.
     """
     create_layers(spark)
     seeds = {name: publish_table(raw[name], "reference", name) for name in schemas.SEEDS}
@@ -305,12 +304,16 @@ def build(
     staged["service_locations"] = cleaning.clean_services(seeds["service_locations"])
     for name, df in staged.items():
         if staging_tables and name not in seeds:
-            layout = {"bucket_by": "episode_id", "buckets": episode_buckets} if episode_buckets else {}
-            staged[name] = publish_table(df, "staging", name, **(layout if name in EPISODE_TABLES else {}))
+            layout = {}
+            if name in EPISODE_TABLES and episode_buckets:
+                layout = {"bucket_by": "episode_id", "buckets": episode_buckets}
+            elif name in (ED, PPH):
+                layout = {"partition_by": ["fy_end_year"]}
+            staged[name] = publish_table(df, "staging", name, **layout)
         else:
             publish_view(df, "staging", name)
     gate(staged, staging_checks(params))
-    marts = build_marts(staged, params, lambda name, df, **layout: publish_table(df, "marts", name, **layout))
+    marts = build_marts(staged, params, lambda name, df: publish_table(df, "marts", name))
     gate(marts | staged, mart_checks(params) if checks_on_marts is None else checks_on_marts)
     if export_to:
         export_marts(spark, export_to, packs.EXPORTS)

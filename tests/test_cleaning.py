@@ -161,6 +161,14 @@ def test_scope_reaches_the_parquet_scan(spark, tmp_path, capsys):
     assert "FlagExplanation" not in next(line for line in plan.splitlines() if line.startswith("ReadSchema"))
 
 
+def test_scope_with_age_bands_reaches_the_scan(spark, tmp_path, capsys):
+    path = str(tmp_path / "release")
+    release(spark, PPH_COLUMNS, [pph_row()]).write.parquet(path)
+    scope_release(spark.read.parquet(path), packs.PPH_SCOPE).explain("formatted")
+    pushed = next(line for line in capsys.readouterr().out.splitlines() if line.startswith("PushedFilters"))
+    assert "StringContains(StateTerritory,Vic)" in pushed and "StringStartsWith(PPHCondition,Total)" in pushed
+
+
 def test_profile_counts_null_as_a_value_and_cuts_at_k(spark):
     rows = [("x", str(i)) for i in range(5)] + [(None, "0"), (None, "0")]
     got = profile(spark.createDataFrame(rows, "a string, b string"), ["a", "b"], k=3).collect()

@@ -125,6 +125,8 @@ def test_build_writes_checks_and_exports(spark, folders, tmp_path):
     parts = sorted(glob.glob(f"{tmp_path}/out/im01_sa3/*.csv"))
     exported = [row for part in parts for row in csv.DictReader(open(part, encoding="utf-8"))]
     assert [(r["sa3_name"], r["fy_end_year"]) for r in exported] == [(a, str(y)) for a in AREAS for y in YEARS]
+    header = open(glob.glob(f"{tmp_path}/out/im02_sa3/*.csv")[0], encoding="utf-8").readline().strip().split(",")
+    assert header[:5] == ["financial_year", "fy_end_year", "sa3_code", "sa3_name", "subregion"]
     drifted = pipeline.export_drift(spark, str(tmp_path / "out"))
     assert {name: df.count() for name, df in drifted.items()} == dict.fromkeys(packs.EXPORTS, 0)
     publish_table(marts["im01_age"].filter("age_group = '65+'"), "marts", "fewer")
