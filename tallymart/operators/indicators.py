@@ -206,14 +206,14 @@ def area_trend(areas: DataFrame, references: DataFrame) -> DataFrame:
     """Areas by year with change since their first row, both references and the rank of the year.
 
     ``areas`` as from ``area_rates``, ``references`` as from ``yearly_references`` (one row a year,
-    the calendar bounds the broadcast). The baseline looks at every year; the rank only at years
-    with both references, as do the rows.
+    the calendar bounds the broadcast). Years without both references drop out before the baseline
+    is taken, so it too is a row of the result.
     """
     series = Window.partitionBy("area_code").orderBy(F.asc_nulls_last("fy_end_year"))
     kept = materialise(
-        areas.withColumn("baseline_rate", F.first("rate").over(series))
+        areas.join(F.broadcast(references), "fy_end_year")
+        .withColumn("baseline_rate", F.first("rate").over(series))
         .withColumn("change_pct_since_baseline", pct_change(F.col("rate"), F.col("baseline_rate")))
-        .join(F.broadcast(references), "fy_end_year")
     )
     ranked = spread_rank(kept, ["fy_end_year"], "rate", "rank_highest_first", descending=True)
     return ranked.select(

@@ -36,6 +36,7 @@ class ScopeSpec:
     member_of: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     drop: tuple[str, ...] = ("Code", "DataSource", "Name")
     required_codes: tuple[str, ...] = ()
+    require_measures: bool = True
     level: str = "GeographicUnit"
     code: str = "GeographicCode"
     area: str = "GeographicAreaName"
@@ -77,7 +78,7 @@ def scope_release(raw: DataFrame, spec: ScopeSpec) -> DataFrame:
 
 def missing_required(scoped: DataFrame, spec: ScopeSpec) -> DataFrame:
     """Required measures, areas and unit codes without a row in the scoped release."""
-    required = [("measure", v) for v in spec.measures]
+    required = [("measure", v) for v in spec.measures] if spec.require_measures else []
     required += [("area", v) for v in spec.areas]
     required += [("code", v) for v in spec.required_codes]
     wanted = scoped.sparkSession.createDataFrame(required, "kind string, value string")

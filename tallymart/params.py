@@ -44,7 +44,8 @@ class Params:
     tolerance: float = 0.05
     required_national_fall_pct: float = 1.0
     reach_years: float = 1.5
-    scorecard: Period = field(default_factory=lambda: Period(dt.date(2026, 1, 1), dt.date(2026, 6, 30)))
+    scorecard_start: dt.date = dt.date(2026, 1, 1)
+    scorecard_end: dt.date | None = None  # the extract date unless given
     codes: GeographyCodes = field(default_factory=GeographyCodes)
 
     def __post_init__(self):
@@ -55,3 +56,8 @@ class Params:
             raise ValueError("day counts and the tolerance cannot be negative")
         if self.reach_years <= 0:
             raise ValueError("reach_years must be positive")
+        self.scorecard  # the period has to be one
+
+    @property
+    def scorecard(self) -> Period:
+        return Period(self.scorecard_start, self.scorecard_end or self.extract_date)

@@ -530,12 +530,13 @@ SELECT fy_end_year, financial_year, l_suppkey AS area_code, s_name AS area_name,
     ),
     "area_trend": _with(
         f"""{SUPPLIER_YEARS},
-fst AS (SELECT a.l_suppkey, a.rate FROM ar a WHERE a.fy_end_year = (SELECT min(b.fy_end_year) FROM ar b WHERE b.l_suppkey = a.l_suppkey))""",
+kept AS (SELECT * FROM ar WHERE fy_end_year IN (SELECT fy_end_year FROM refs)),
+fst AS (SELECT a.l_suppkey, a.rate FROM kept a WHERE a.fy_end_year = (SELECT min(b.fy_end_year) FROM kept b WHERE b.l_suppkey = a.l_suppkey))""",
         f"""
 SELECT a.fy_end_year, a.financial_year, a.l_suppkey AS area_code, a.s_name AS area_name, a.r_name AS subregion, a.rate,
        CASE WHEN a.flagged THEN '*' END AS flag, f.rate AS baseline_rate, {_change("a.rate", "f.rate")} AS change_pct_since_baseline,
        r.unit_rate, r.national_rate, rank() OVER (PARTITION BY a.fy_end_year ORDER BY a.rate DESC NULLS LAST) AS rank_highest_first
-FROM ar a JOIN fst f USING (l_suppkey) JOIN refs r USING (fy_end_year)""",
+FROM kept a JOIN fst f USING (l_suppkey) JOIN refs r USING (fy_end_year)""",
     ),
     "area_hotspots": _with(
         f"""{SUPPLIER_YEARS},

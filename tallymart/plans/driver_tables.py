@@ -22,7 +22,7 @@ from tallymart.functions.aggregates import count_where, sum_where
 from tallymart.functions.columns import ratio
 from tallymart.operators import cleaning
 from tallymart.operators.scoping import ScopeSpec
-from tallymart.params import GeographyCodes, Params, Period
+from tallymart.params import GeographyCodes, Params
 from tallymart.plans import packs
 
 CODES = GeographyCodes(
@@ -41,7 +41,8 @@ PARAMS = Params(
     target_followup_rate=0.13,
     target_outcome_rate=0.45,
     baseline_fy=1996,
-    scorecard=Period(dt.date(2001, 1, 1), dt.date(2001, 6, 30)),
+    scorecard_start=dt.date(2001, 1, 1),
+    scorecard_end=dt.date(2001, 6, 30),
     codes=CODES,
 )
 

@@ -83,6 +83,7 @@ ED_SCOPE = ScopeSpec(
     area_level="SA3",
     state="Vic",
     member_of={"TriageCategory": (LOWER_URGENCY_TRIAGE, "All")},
+    require_measures=False,
 )
 PPH_SCOPE = ScopeSpec(
     measures=tuple(PPH_MEASURES),

@@ -89,5 +89,8 @@ def test_params_are_validated():
         Params(stale_open_days=-1)
     with pytest.raises(ValueError):
         Params(reach_years=0)
+    with pytest.raises(ValueError):
+        Params(extract_date=dt.date(2025, 12, 31))
+    assert Params(extract_date=dt.date(2026, 3, 31)).scorecard == Period(dt.date(2026, 1, 1), dt.date(2026, 3, 31))
     with pytest.raises(ValueError):
         Period(dt.date(2026, 2, 1), dt.date(2026, 1, 1))

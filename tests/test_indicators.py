@@ -102,14 +102,19 @@ AREAS = "fy_end_year int, financial_year string, area_code string, area_name str
 
 def test_area_trend_needs_both_references(spark):
     rows = [(y, label(y), c, c, "s", v, None) for y, c, v in [
-        (2017, "a", 50.0), (2018, "a", 100.0), (2018, "b", 100.0), (2018, "c", 20.0), (2018, "d", None), (2019, "a", 110.0)]]
-    refs = [rate(2018, "PHN206", 5.0), national(2018, 6.0), rate(2019, "PHN206", 5.0), national(2017, 1.0)]
+        (2017, "a", 50.0), (2018, "a", 100.0), (2018, "b", 100.0), (2018, "c", 20.0), (2018, "d", None), (2019, "a", 110.0),
+        (2020, "a", 150.0)]]
+    refs = [rate(2018, "PHN206", 5.0), national(2018, 6.0), rate(2019, "PHN206", 5.0), national(2017, 1.0),
+            rate(2020, "PHN206", None), national(2020, 7.0)]
     references = indicators.yearly_references(spark.createDataFrame(refs, RATES), CODES)
-    got = {r.area_code: r for r in indicators.area_trend(spark.createDataFrame(rows, AREAS), references).collect()}
-    assert set(got) == {"a", "b", "c", "d"} and {r.fy_end_year for r in got.values()} == {2018}
+    trend = indicators.area_trend(spark.createDataFrame(rows, AREAS), references).collect()
+    assert {r.fy_end_year for r in trend} == {2018, 2020}
+    got = {r.area_code: r for r in trend if r.fy_end_year == 2018}
     assert {k: r.rank_highest_first for k, r in got.items()} == {"a": 1, "b": 1, "c": 3, "d": 4}
-    assert (got["a"].baseline_rate, got["a"].change_pct_since_baseline) == (50.0, 100.0)
     assert (got["a"].unit_rate, got["a"].national_rate) == (5.0, 6.0)
+    # 2017 has no unit row, so it is neither a row nor the baseline; a null reference is still a row.
+    last = next(r for r in trend if r.fy_end_year == 2020)
+    assert (last.baseline_rate, last.change_pct_since_baseline, last.unit_rate) == (100.0, 50.0, None)
 
 
 def test_area_rates_join_on_the_name(spark):

@@ -2,11 +2,11 @@ import datetime as dt
 
 import pytest
 
-from tallymart import Params, Period
+from tallymart import Params
 from tallymart.operators import dimensions, fact, kpis, rollups
 
 D = dt.date
-PARAMS = Params(extract_date=D(2026, 6, 30), scorecard=Period(D(2026, 1, 1), D(2026, 6, 30)))
+PARAMS = Params(extract_date=D(2026, 6, 30))
 
 EPISODE = (
     "episode_id string, client_key string, provider_code string, referral_date date, first_contact_date date, "
@@ -175,7 +175,7 @@ def test_scorecard(spark):
 def test_scorecard_statuses_meet_their_targets(spark):
     rows = [episode(str(i), "A", D(2026, 1, 1), D(2026, 1, 15 if i else 8), D(2026, 2, 1), "Referred on", True) for i in (0, 1)]
     measures = [(str(i), "SDQ", o, 9) for i in (0, 1) for o in ("start", "end")]
-    params = Params(target_followup_rate=0.5, scorecard=PARAMS.scorecard)
+    params = Params(target_followup_rate=0.5)
     row = kpis.kpi_scorecard(fact_of(spark, rows, measures=measures), providers_of(spark, "A"), params).first()
     assert (row.wait_status, row.followup_status, row.outcome_collection_status) == ("On target",) * 3
 
