@@ -31,6 +31,14 @@ def stage(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def roll_up(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The intermediate layer: both rollups to episode grain."""
+    return {
+        "episode_contacts": rollups.rollup_contacts(t["contacts"]),
+        "episode_outcomes": rollups.pivot_outcomes(t["measures"]),
+    }
+
+
 def staging_checks(params: Params) -> list[Check]:
     levels = (
         params.codes.national_level,
@@ -114,9 +122,7 @@ def build_marts(t: Mapping[str, DataFrame], params: Params, save=lambda name, df
     subregions = put("dim_subregion", dimensions.dim_subregion(t["subregions"], t["area_map"]))
     episodes = put(
         "fct_episode",
-        fact.build_episode_fact(
-            t["episodes"], rollups.pivot_outcomes(t["measures"]), rollups.rollup_contacts(t["contacts"]), params
-        ),
+        fact.build_episode_fact(t["episodes"], t["episode_outcomes"], t["episode_contacts"], params),
     )
     put("kpi_provider_quarterly", kpis.kpi_quarterly(episodes, providers))
     put("kpi_provider_scorecard", kpis.kpi_scorecard(episodes, providers, params))
@@ -313,7 +319,10 @@ def build(
         else:
             publish_view(df, "staging", name)
     gate(staged, staging_checks(params))
-    marts = build_marts(staged, params, lambda name, df: publish_table(df, "marts", name))
+    intermediate = roll_up(staged)
+    for name, df in intermediate.items():
+        publish_view(df, "intermediate", name)
+    marts = build_marts(staged | intermediate, params, lambda name, df: publish_table(df, "marts", name))
     gate(marts | staged, mart_checks(params) if checks_on_marts is None else checks_on_marts)
     if export_to:
         export_marts(spark, export_to, packs.EXPORTS)

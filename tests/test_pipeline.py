@@ -117,6 +117,8 @@ def test_build_writes_checks_and_exports(spark, folders, tmp_path):
         "im01_age": 18, "im02_sa3_hotspots": 2, "peer_comparison": 4, "criteria_check": 6,
     }
     assert read_mart(spark, "fct_episode").count() == 24
+    assert spark.table("intermediate__episode_contacts").count() == 24
+    assert spark.table("staging.episodes").count() == 24
     card = {r.provider_code: r for r in marts["kpi_provider_scorecard"].collect()}
     assert (card["A"].outcome_collection_rate, card["C"].referrals) == (1.0, None)
     gap = marts["im01_conditions"].first()
