@@ -8,8 +8,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The en dash as published, and the control character it becomes when a
-# Windows-1252 file is read as Latin-1.
+# The en dash as published, and the control character it is in a file that was read
+# as Latin-1 elsewhere.
 DASHES = ("–", "\u0096")
 
 

@@ -187,7 +187,7 @@ def profile_events(t):
 
 @query
 def profile_documents(t):
-    return profiling.profile(t.documents, ["text", "lang", "source"])
+    return profiling.profile(t.documents, ["lang", "source", "n_chars"])
 
 
 # Indicators.

@@ -470,7 +470,7 @@ QUALIFY row_number() OVER (
          "PPHCondition", "MeasureName", "Flag"],
     ),
     "profile_events": "WITH " + _profile("events", ["user_id", "event_type", "props"]).strip(),
-    "profile_documents": "WITH " + _profile("documents", ["text", "lang", "source"]).strip(),
+    "profile_documents": "WITH " + _profile("documents", ["lang", "source", "n_chars"]).strip(),
     "indicator_trend_band": _with(BAND_TREND, "SELECT * FROM tb"),
     "indicator_trend_category": _with(CATEGORY_TREND, "SELECT * FROM tc"),
     "age_trend": _with(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -24,13 +25,20 @@ def read_text(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFr
     return spark.read.option("header", True).option("encoding", encoding).option("escape", '"').csv(path)
 
 
+# Windows-1252 differs from Latin-1 in the codes 0x80 to 0x9F, of which five are undefined.
+_CODES = [code for code in range(0x80, 0xA0) if bytes([code]).decode("cp1252", "ignore")]
+_AS_LATIN_1 = bytes(_CODES).decode("latin-1")
+_AS_WINDOWS_1252 = bytes(_CODES).decode("cp1252")
+
+
 def read_release(spark: SparkSession, path: str) -> DataFrame:
     """A published release: all text, Windows-1252.
 
-    Spark offers no such charset. Latin-1 agrees with it except for 32 punctuation codes; the en
-    dash among them is put right when the release is scoped.
+    Spark offers no such charset, so the file is read as Latin-1 and the codes that differ are put
+    right in every column.
     """
-    return read_text(spark, path, encoding="ISO-8859-1")
+    raw = read_text(spark, path, encoding="ISO-8859-1")
+    return raw.select(*[F.translate(F.col(name), _AS_LATIN_1, _AS_WINDOWS_1252).alias(name) for name in raw.columns])
 
 
 def read_folder(spark: SparkSession, folder: str, tables: dict[str, T.StructType]) -> dict[str, DataFrame]:

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -71,6 +72,20 @@ def test_half_away_rounds_the_binary_value(spark, number, digits, expected):
     assert values(spark, [(number,)], "a double", c.half_away(F.col("a"), digits)) == [(expected,)]
 
 
+def test_half_away_equals_the_other_engine(spark):
+    duckdb = pytest.importorskip("duckdb")
+    random.seed(5)
+    numbers = [random.uniform(-500, 500) for _ in range(500)]
+    numbers += [random.randint(-99999, 99999) / d for d in (8, 20, 40, 80, 200, 400, 2000) for _ in range(200)]
+    rounded = spark.createDataFrame([(x,) for x in numbers], "x double").select(
+        "x", *[c.half_away(F.col("x"), n).alias(f"r{n}") for n in (0, 1, 2)]
+    )
+    con = duckdb.connect()
+    for row in rounded.collect():
+        expected = con.execute("SELECT round(?::DOUBLE, 0), round(?::DOUBLE, 1), round(?::DOUBLE, 2)", [row.x] * 3).fetchall()
+        assert (row.r0, row.r1, row.r2) == expected[0], row.x
+
+
 def test_pct_change(spark):
     rows = [(110.0, 100.0), (90.0, 120.0), (1.0, 0.0), (1.0, None), (None, 1.0)]
     got = values(spark, rows, "a double, b double", c.pct_change(F.col("a"), F.col("b")))

@@ -173,9 +173,11 @@ def test_declared_check_counts():
 def test_windows_1252_release(spark, tmp_path):
     columns = ["Code", "DataSource", "Name"] + RELEASE_HEAD + ["PPHGroup", "PPHCondition"] + RELEASE_TAIL
     row = ["c", "d", "n", "Table1", "2017–18", "", "NAT", "001NAT", "National", "National", "0–64", "Total", "Total PPH",
-           packs.PPH_SCOPE.measures[1], "5", "", ""]
+           packs.PPH_SCOPE.measures[1], "5", "", "‘n.p.’ – not published… €"]
     path = write(str(tmp_path / "release.csv"), columns, [row], encoding="cp1252")
-    scoped = scope_release(read_release(spark, path), packs.PPH_SCOPE)
+    release = read_release(spark, path)
+    assert list(release.first()) == [value or None for value in row]
+    scoped = scope_release(release, packs.PPH_SCOPE)
     got = scoped.first()
     assert (got.Year, got.DemographicGroup, got.StateTerritory, got.Flag) == ("2017-18", "0-64", None, None)
     assert write_extract(scoped, str(tmp_path / "extract"), "csv") == 1
