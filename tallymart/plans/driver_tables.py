@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart.functions.aggregates import count_where, sum_where
 from tallymart.functions.columns import ratio
@@ -50,21 +51,13 @@ PARAMS = Params(
 SMALLEST_PUBLISHED = 20
 
 
-# Stated schemas, so that opening a table starts no job to read a footer.
-SCHEMAS = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-    "o_orderdate timestamp_ntz, o_orderpriority string",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
-    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
-    "l_shipdate timestamp_ntz",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
-}
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
+
+
+@cache
+def table_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Read from a footer once per session: opening the table again starts no job."""
+    return spark.read.parquet(path).schema
 
 
 class DriverTables:
@@ -74,9 +67,10 @@ class DriverTables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name not in SCHEMAS:
+        if name not in TABLES:
             raise AttributeError(name)
-        table = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        table = self.spark.read.schema(table_schema(self.spark, path)).parquet(path)
         setattr(self, name, table)
         return table
 

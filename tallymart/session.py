@@ -51,12 +51,11 @@ def build_session(
 
 
 def _shared_folder(spark: SparkSession) -> str | None:
-    context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if folder is None and context.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None and spark.sparkContext.master.startswith("local"):
         # Local runs only: on a cluster a folder of one machine would be lost with it.
         folder = tempfile.mkdtemp(prefix="tallymart-")
-        context.setCheckpointDir(folder)
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 

@@ -212,6 +212,8 @@ def test_materialise_keeps_rows_and_schema(spark):
     kept = materialise(df)
     assert kept.schema.simpleString() == df.schema.simpleString() and kept.exceptAll(df).count() == 0
     assert "Range" not in kept._jdf.queryExecution().executedPlan().toString()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert folder.removeprefix("file:") in kept.inputFiles()[0]
 
 
 def test_shuffles_are_sized_by_their_bytes():
