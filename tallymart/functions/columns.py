@@ -32,10 +32,6 @@ def blank_to_null(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(""))
 
 
-def blank_to(name: str, default: str) -> Column:
-    return F.coalesce(blank_to_null(name), F.lit(default))
-
-
 def code_map(name: str, mapping: Mapping[str, str]) -> Column:
     """Exact code lookup; an unknown code gives null."""
     return first_match((F.col(name) == F.lit(code), F.lit(label)) for code, label in mapping.items())

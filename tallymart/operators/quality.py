@@ -111,9 +111,7 @@ def wrong_row_count(trend: DataFrame, geographies: Sequence[str], expected: int)
 RECONCILE_KEY = ("indicator_code", "geography_code", "fy_end_year", "category")
 
 
-def unreconciled(
-    published: DataFrame, trends: Mapping[str, DataFrame], tolerance: float
-) -> DataFrame:
+def unreconciled(published: DataFrame, trends: Mapping[str, DataFrame], tolerance: float) -> DataFrame:
     """Published values the marts miss by more than ``tolerance`` or do not have.
 
     ``trends`` maps each trend's category column to the trend.
@@ -197,9 +195,6 @@ def related(table: str, column: str, parent: str, parent_column: str | None = No
     )
 
 
-REPORT = "check string, table string, failures bigint"
-
-
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Report with the number of failing rows per check.
 

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tallymart.operators import cleaning, dimensions, fact, indicators, kpis, quality, rollups
 from tallymart.operators.quality import Check, accepted, gate, not_null, related, unique, unique_combination
+from tallymart.operators.scoping import ScopeSpec, require_complete, scope_release
 from tallymart.params import Params
 from tallymart.plans import packs
+from tallymart.session import materialise
 from tallymart.sources import schemas
-from tallymart.sources.readers import read_csv, read_folder, read_text
+from tallymart.sources.readers import read_csv, read_folder, read_release, read_text
 from tallymart.sources.writers import Export, create_layers, export_marts, publish_table, publish_view
 
 ED, PPH = "lower_urgency_ed", "pph"
@@ -285,6 +287,24 @@ def read_raw(spark: SparkSession, service: str, seeds: str, ed_extract: str, pph
     return raw
 
 
+def read_releases(
+    spark: SparkSession,
+    ed_release: str,
+    pph_release: str,
+    ed_scope: ScopeSpec = packs.ED_SCOPE,
+    pph_scope: ScopeSpec = packs.PPH_SCOPE,
+) -> dict[str, DataFrame]:
+    """Both extracts straight from the full releases, or an error naming what a release lacks.
+
+    They may replace the extracts in ``build``'s raw tables, or be written with ``write_extract``.
+    A release is parsed once: the check and the build read what is in scope.
+    """
+    return {
+        name: require_complete(materialise(scope_release(read_release(spark, path), scope)), scope)
+        for name, path, scope in ((ED, ed_release, ed_scope), (PPH, pph_release, pph_scope))
+    }
+
+
 EPISODE_TABLES = ("episodes", "contacts", "measures")
 
 

@@ -10,9 +10,9 @@ import pytest
 
 from tallymart import Params
 from tallymart.operators.fact import build_episode_fact
-from tallymart.operators.quality import QualityGateError
+from tallymart.operators.quality import QualityGateError, drift
 from tallymart.operators.rollups import pivot_outcomes, rollup_contacts
-from tallymart.operators.scoping import scope_release
+from tallymart.operators.scoping import IncompleteRelease, scope_release
 from tallymart.plans import packs, pipeline
 from tallymart.session import materialise, shuffle_settings
 from tallymart.sources import schemas
@@ -154,6 +154,28 @@ def test_bucketed_episode_tables_join_without_a_shuffle(spark, folders):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_full_releases_give_the_extracts(spark, folders, tmp_path):
+    def full(name, source, outside):
+        """The extract's rows as published, among rows out of scope."""
+        with open(source, encoding="utf-8") as lines:
+            header, *rows = list(csv.reader(lines))
+        rows = [row[:1] + [row[1].replace("-", "–")] + row[2:] for row in rows]
+        rows += [row[:7] + ["Male"] + row[8:] for row in rows] + [row[:3] + [outside] + row[4:] for row in rows]
+        path = str(tmp_path / name)
+        return write(path, ["Code", "DataSource", "Name"] + header, [["c", "d", "n"] + row for row in rows], "cp1252")
+
+    _, _, ed, pph = folders
+    paths = full("ed.csv", ed, "RA"), full("pph.csv", pph, "SEIFA")
+    scopes = replace(packs.ED_SCOPE, areas=AREAS), replace(packs.PPH_SCOPE, areas=AREAS)
+    got = pipeline.read_releases(spark, *paths, *scopes)
+    for name, path in ((pipeline.ED, ed), (pipeline.PPH, pph)):
+        expected = read_text(spark, path)
+        assert got[name].columns == expected.columns
+        assert drift(expected, got[name]).count() == 0
+    with pytest.raises(IncompleteRelease, match="Warrnambool"):
+        pipeline.read_releases(spark, *paths)
+
+
 def test_a_failing_check_stops_the_build(spark, folders):
     raw = pipeline.read_raw(spark, *folders)
     doubled = raw | {"fact_service_contact": raw["fact_service_contact"].union(raw["fact_service_contact"])}
