@@ -207,6 +207,13 @@ def test_windows_1252_release(spark, tmp_path):
     assert write_extract(scoped, str(tmp_path / "parquet")) == 1
 
 
+def test_missing_marks_and_line_breaks_of_a_release(spark, tmp_path):
+    path = write(str(tmp_path / "r.csv"), ["a", "b", "c"], [["NA", "n.p.", "-"], ["n/a", "None", "x"], ["one\ntwo", "NaN", ""]])
+    assert [tuple(r) for r in read_release(spark, path, multi_line=True).collect()] == [
+        (None, "n.p.", "-"), (None, None, "x"), ("one\ntwo", None, None),
+    ]
+
+
 def test_a_different_header_is_an_error(spark, tmp_path):
     path = write(str(tmp_path / "x.csv"), ["subregion", "sa3_name"], [["a", "b"]])
     with pytest.raises(Exception, match="header does not conform"):
