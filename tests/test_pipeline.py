@@ -5,6 +5,7 @@ import datetime as dt
 import glob
 import os
 from dataclasses import replace
+from types import SimpleNamespace
 
 import pytest
 
@@ -14,7 +15,7 @@ from tallymart.operators.quality import QualityGateError, drift
 from tallymart.operators.rollups import pivot_outcomes, rollup_contacts
 from tallymart.operators.scoping import IncompleteRelease, scope_release
 from tallymart.plans import packs, pipeline
-from tallymart.session import materialise, shuffle_settings
+from tallymart.session import _shared_folder, materialise, shuffle_settings
 from tallymart.sources import schemas
 from tallymart.sources.readers import read_csv, read_mart, read_release, read_text
 from tallymart.sources.writers import publish_table, write_extract
@@ -249,3 +250,10 @@ def test_shuffles_are_sized_by_their_bytes():
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert shuffle_settings(1)[initial] == "200"
     assert shuffle_settings(10 * 1024**4)[initial] == "40960"
+
+
+@pytest.mark.parametrize("setting, master, expected", [("hdfs:/shared", "yarn", "hdfs:/shared"), (None, "yarn", None)])
+def test_a_cluster_uses_the_folder_it_names_or_none(setting, master, expected):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf={"spark.checkpoint.dir": setting}, sparkContext=context)
+    assert _shared_folder(session) == expected
