@@ -43,11 +43,11 @@ def spread_rank(
     slices; a row finds its block first and its slice within it next. Its rank is the rows in earlier
     slices plus its rank in its own slice, exact wherever the cuts fall. A value common enough to
     fill a slice is itself a cut: rows equal to a cut, and nulls, form slices of their own whose rows
-    all tie, so these are salted over many tasks. The rows are shuffled once.
+    all tie, so these need no shuffle. All other rows are shuffled once.
 
     The cuts, ``blocks ** 2 - 1`` numbers per group, are fixed on the driver because a recomputed
     quantile may move. ``keys`` must be calendar-like (a year, a quarter, an indicator code), which
-    bounds the cuts and the broadcast offsets. ``df`` is read three times, twice for ``keys`` and
+    bounds the cuts and the broadcast offsets. ``df`` is read four times, twice for ``keys`` and
     ``value`` only: best a written table.
     """
     group = list(keys)
@@ -81,11 +81,11 @@ def spread_rank(
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(*sliced, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
     )
-    salt = F.when(F.col("_tied"), F.pmod(F.hash(*df.columns), F.lit(slices))).otherwise(F.lit(0))
-    inside = Window.partitionBy(*sliced, "_salt").orderBy(F.asc_nulls_last("_pos"))
+    inside = Window.partitionBy(*sliced).orderBy(F.asc_nulls_last("_pos"))
+    between_cuts = placed.filter(~F.col("_tied")).withColumn("_inside", F.rank().over(inside))
+    at_cuts = placed.filter("_tied").withColumn("_inside", F.lit(1))
     return (
-        placed.select(*df.columns, "_pos", "_slice", salt.alias("_salt"))
-        .withColumn("_inside", F.rank().over(inside))
+        between_cuts.unionByName(at_cuts)
         .join(F.broadcast(_rename(offsets, sliced, "_o")), _same(sliced, "_o"))
         .select(*df.columns, (F.col("_ahead") + F.col("_inside")).cast("long").alias(rank))
     )
