@@ -28,6 +28,10 @@ def with_spine(entities: DataFrame, periods: DataFrame, period: str) -> DataFram
     return entities.withColumn(period, F.explode(listed.scalar()))
 
 
+# Cuts taken per group before the number of slices is known: 32 blocks of 32 slices at most.
+MOST_BLOCKS = 32
+
+
 def spread_rank(
     df: DataFrame,
     keys: Sequence[str],
@@ -35,32 +39,43 @@ def spread_rank(
     rank: str,
     *,
     descending: bool = False,
-    blocks: int = 16,
+    rows_per_slice: int = 1_000_000,
 ) -> DataFrame:
-    """``rank()`` within ``keys`` (nulls last, ties share a rank) with no task holding a whole group.
+    """``rank()`` within ``keys`` (nulls last, ties share a rank) with no task holding a large group.
 
-    Each group's values are cut at their approximate quantiles, ``blocks`` blocks of ``blocks``
+    Groups of more than ``rows_per_slice`` rows are cut at their approximate quantiles into blocks of
     slices; a row finds its block first and its slice within it next. Its rank is the rows in earlier
     slices plus its rank in its own slice, exact wherever the cuts fall. A value common enough to
     fill a slice is itself a cut: rows equal to a cut, and nulls, form slices of their own whose rows
     all tie, so these need no shuffle. All other rows are shuffled once.
 
-    The cuts, ``blocks ** 2 - 1`` numbers per group, are fixed on the driver because a recomputed
-    quantile may move. ``keys`` must be calendar-like (a year, a quarter, an indicator code), which
-    bounds the cuts and the broadcast offsets. ``df`` is read four times, twice for ``keys`` and
-    ``value`` only: best a written table.
+    The cuts, at most 1,023 numbers per group, are fixed on the driver because a recomputed quantile
+    may move. ``keys`` must be calendar-like (a year, a quarter, an indicator code), which bounds the
+    cuts and the broadcast offsets. ``df`` is read four times, twice for ``keys`` and ``value`` only:
+    best a written table.
     """
     group = list(keys)
     if not group:
         raise ValueError("rank within at least one key, such as the year")
     position = -F.col(value) if descending else F.col(value)
-    slices = blocks**2
-    found = (
-        df.groupBy(*group)
-        .agg(F.percentile_approx(position, [i / slices for i in range(1, slices)], 10 * slices).alias("_cuts"))
-        .withColumn("_starts", F.array(*[F.col("_cuts")[i * blocks - 1] for i in range(1, blocks)]))
+    most = MOST_BLOCKS**2
+    shares = F.expr(f"array({', '.join(f'{i / most}D' for i in range(1, most))})")
+    found = df.groupBy(*group).agg(
+        F.percentile_approx(position, shares, 10 * most).alias("_cuts"),
+        F.count(F.lit(1)).alias("_rows"),
     )
-    cuts = df.sparkSession.createDataFrame(found.toArrow(), found.schema)
+    groups = found.collect()
+    largest = max((row["_rows"] for row in groups), default=0)
+    blocks = next((b for b in (1, 2, 4, 8, 16) if b * b * rows_per_slice >= largest), MOST_BLOCKS)
+    slices, stride = blocks**2, (MOST_BLOCKS // blocks) ** 2
+
+    def chosen(row) -> tuple:
+        cuts = row["_cuts"] and row["_cuts"][stride - 1 :: stride]
+        return (*[row[key] for key in group], cuts, cuts and cuts[blocks - 1 :: blocks])
+
+    numbers = found.schema["_cuts"].dataType
+    schema = found.select(*group).schema.add("_cuts", numbers).add("_starts", numbers)
+    cuts = df.sparkSession.createDataFrame([chosen(row) for row in groups], schema)
 
     def below(numbers) -> Column:
         return F.size(F.filter(numbers, lambda cut: cut < F.col("_pos")))

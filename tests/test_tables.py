@@ -31,8 +31,9 @@ def test_spine_has_every_pair_and_no_cross_join(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("rows_per_slice", [1, 10, 100, 1000, 10_000])
 @pytest.mark.parametrize("descending", [True, False])
-def test_spread_rank_equals_the_window_rank(spark, descending):
+def test_spread_rank_equals_the_window_rank(spark, descending, rows_per_slice):
     """Ties, nulls, an outlier that would stretch equal-width slices, and a third of all rows equal."""
     random.seed(7)
     rows = []
@@ -43,7 +44,7 @@ def test_spread_rank_equals_the_window_rank(spark, descending):
     df = spark.createDataFrame(rows, "id int, y int, v double")
     order = F.desc_nulls_last("v") if descending else F.asc_nulls_last("v")
     expected = df.withColumn("r", F.rank().over(Window.partitionBy("y").orderBy(order)))
-    got = spread_rank(df, ["y"], "v", "r", descending=descending, blocks=4)
+    got = spread_rank(df, ["y"], "v", "r", descending=descending, rows_per_slice=rows_per_slice)
     assert {(r.id, r.r) for r in got.collect()} == {(r.id, r.r) for r in expected.collect()}
     assert got.count() == len(rows)
 
