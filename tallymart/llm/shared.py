@@ -169,3 +169,21 @@ def word_ids(path: str, text: str):
     if parts is None:
         return np.array(tokenizer(path).encode(text, add_special_tokens=False).ids, dtype="<u2")
     return np.frombuffer(b"".join(map(word_cache(path).__getitem__, parts)), dtype="<u2")
+
+
+# ---------------------------------------------------------------- labelled rows
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
+    """doc_id, text and label of at most ``per_class`` labelled documents of each class (0 and 1).
+
+    The rows with the smallest hash of their id are taken, so the choice does not change between runs; the chosen ids,
+    at most ``2 * per_class``, are what is broadcast.
+    """
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    known = known.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
+    chosen = [
+        known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        for value in (0, 1)
+    ]
+    return rows_of(docs).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
