@@ -11,6 +11,7 @@ from tallymart.llm import (
     exact_dedup,
     huffman_files,
     licenses,
+    near_dedup,
     packing,
     quality,
     token_counts,
@@ -39,6 +40,10 @@ def op5_huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman_files.round_trip(load(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(load(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(load(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_distinct_words,
         op4_licenses,
         op5_huffman_files,
+        op7_near_dedup,
         op8_exact_dedup,
         op9_quality,
         op10_toxicity,
