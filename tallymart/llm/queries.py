@@ -14,6 +14,7 @@ from tallymart.llm import (
     near_dedup,
     packing,
     quality,
+    suffix_dedup,
     token_counts,
     toxicity,
 )
@@ -40,6 +41,10 @@ def op5_huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman_files.round_trip(load(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digests(load(spark, sf_dir, "documents"), length=400)
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(load(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_distinct_words,
         op4_licenses,
         op5_huffman_files,
+        op6_suffix_dedup,
         op7_near_dedup,
         op8_exact_dedup,
         op9_quality,
