@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallymart.llm.filters import IdFilter
 from tallymart.llm.shared import rows_of, stored
@@ -400,11 +401,13 @@ def _merge_part(length: int, gram: int):
 
 
 def repeated_spans(
-    docs: DataFrame, length: int = 400, gram: int = GRAM, busy_entries: int = BUSY_ENTRIES
+    docs: DataFrame, length: int = 400, gram: int = GRAM, busy_entries: int = BUSY_ENTRIES, more: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """The rows with a key, and (key, first, last): byte spans, maybe overlapping, that hold all repeated strings."""
-    rows = rows_of(docs).withColumn("key", F.xxhash64("doc_id", "text"))
-    long = rows.where(F.octet_length("text") >= length)
+    if not 0 < gram < length <= 4096:
+        raise ValueError(f"0 < gram < length <= 4096 must hold, not gram {gram}, length {length}")
+    rows = rows_of(docs, *more).withColumn("key", F.xxhash64("doc_id", "text"))
+    long = rows.select("key", "text").where(F.octet_length("text") >= length)
     counted = _minimisers(long, length, gram).groupBy("kh").agg(F.sum("n").alias("n")).where("n > 1")
     repeated = IdFilter(stored(counted.select("kh"), "minimisers"), "kh")
     found = stored(_found(long, length, gram, repeated), "entries")
@@ -474,8 +477,10 @@ def _applied(rows: DataFrame, schema: str, result) -> DataFrame:
                 names=others + names,
             )
 
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in others)
-    return rows.mapInArrow(apply, f"{own}, {schema}")
+    own = StructType([f for f in rows.schema if f.name in others])
+    for name, kind in (c.split() for c in schema.split(", ")):
+        own = own.add(name, kind)
+    return rows.mapInArrow(apply, own)
 
 
 def kept_bytes(data: bytes, spans: np.ndarray) -> bytes:
@@ -485,6 +490,10 @@ def kept_bytes(data: bytes, spans: np.ndarray) -> bytes:
 
 def _with_spans(docs: DataFrame, length: int, gram: int, busy_entries: int, schema: str, result) -> DataFrame:
     rows, spans = repeated_spans(docs, length, gram, busy_entries)
+    return _joined(rows, spans, schema, result)
+
+
+def _joined(rows: DataFrame, spans: DataFrame, schema: str, result) -> DataFrame:
     packed = spans.select("key", (F.shiftleft("first", 32) + F.col("last")).alias("span"))
     lists = packed.groupBy("key").agg(F.collect_list("span").alias("spans"))
     touched = IdFilter(spans.select("key").distinct(), "key")
@@ -523,3 +532,20 @@ def without_repeats(
         return len(data), len(data) - len(left), left
 
     return _with_spans(docs, length, gram, busy_entries, "n_bytes long, n_removed long, kept binary", keep)
+
+
+def texts_without_repeats(
+    docs: DataFrame, length: int = 400, gram: int = GRAM, busy_entries: int = BUSY_ENTRIES
+) -> DataFrame:
+    """The table with its texts so cut, as text: bytes left of a cut character go too; n_chars, if there, follows.
+
+    All rows stay, a text that is all repeats as an empty one, and so do all columns, whatever their names.
+    """
+    names = docs.columns
+    others = [c for c in names if c not in ("doc_id", "text", "n_chars")]
+    plain = docs.select("doc_id", "text", *([F.struct(*(F.col(f"`{c}`") for c in others)).alias("more")] if others else []))
+    rows, spans = repeated_spans(plain, length, gram, busy_entries, ("more",) if others else ())
+    cut = _joined(rows, spans, "kept string", lambda data, found: (kept_bytes(data, found).decode(errors="ignore"),))
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("kept").alias("text")}
+    columns["n_chars"] = F.length("kept").cast("long").alias("n_chars")
+    return cut.select(*(columns[c] if c in columns else F.col(f"more.`{c}`").alias(c) for c in names))
