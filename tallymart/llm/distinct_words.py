@@ -1,7 +1,7 @@
 """Byte-level BPE through a table of distinct words: each word is encoded once, its ids join back by position.
 
 Texts are gathered into blocks. A block's payload is the sequence of its words as numbers in its own list of distinct
-words; the lists, not the texts, are shuffled by word, encoded once for each word, and sent back to their block. Both
+words; the lists, not the texts, are shuffled by a hash of the word, encoded once for each word, and sent back. Both
 sides cut blocks alike, since they read the same rows in the same order; each block carries a check of its words, and
 a block whose two sides differ is an error, never a wrong result.
 """
@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import _special, rows_of, tokenizer
+from tallymart.llm.shared import _special, rows_of, text_bytes, tokenizer
 from tallymart.llm.token_counts import byte_characters
 
 BLOCK_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20  # of text, for each bucket of words
+SEAL = (1 << 61) - 1
 # A part is white space but its last sign, a single white-space sign, or a word with the space before it. The
 # tokenizer's own pattern never matches across two such parts.
 PART = r" ?\S+|\s+(?!\S)|\s"
@@ -101,16 +103,55 @@ def _marks(words: list[str]) -> np.ndarray:
     return np.fromiter((zlib.crc32(w.encode()) for w in words), dtype=np.int64, count=len(words))
 
 
-def _seal(marks: np.ndarray) -> int:
-    """One number for a list of words in order; it differs where two lists do, but for one chance in billions."""
-    return int(((marks + 1) * np.arange(1, 2 * len(marks), 2)).sum() & 0x7FFFFFFFFFFFFFFF) if len(marks) else 0
+def _seal(numbers: np.ndarray, marks: np.ndarray) -> int:
+    """One number for words and their places, the sum over any parts of a list; it differs where two lists do, but for
+    one chance in billions."""
+    return sum(((marks + 1) * (2 * numbers.astype(np.int64) + 1) % SEAL).tolist()) % SEAL
+
+
+def _compress(*parts: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.compress(np.array([len(p) for p in parts], dtype="<i8").tobytes() + b"".join(parts), 3)
+
+
+def _decompress(packed: bytes, n: int) -> list[bytes]:
+    import zstandard
+
+    data = zstandard.decompress(packed)
+    ends = np.cumsum([8 * n, *np.frombuffer(data, dtype="<i8", count=n).tolist()]).tolist()
+    return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def _pack_words(numbers: np.ndarray, words: list[str]) -> bytes:
+    coded = [w.encode() for w in words]
+    sizes = np.array([len(w) for w in coded], dtype="<u4")
+    return _compress(np.diff(numbers, prepend=0).astype("<u4").tobytes(), sizes.tobytes(), b"".join(coded))
+
+
+def _unpack_words(packed: bytes) -> tuple[np.ndarray, list[str]]:
+    steps, sizes, data = _decompress(packed, 3)
+    ends = np.cumsum(np.frombuffer(sizes, dtype="<u4").astype(np.int64)).tolist()
+    words = [data[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)]
+    return np.cumsum(np.frombuffer(steps, dtype="<u4").astype(np.int64)), words
+
+
+def _pack_codes(numbers: np.ndarray, codes: list[bytes]) -> bytes:
+    sizes = np.array([len(c) // 2 for c in codes], dtype="<u4")
+    return _compress(np.diff(numbers, prepend=0).astype("<u4").tobytes(), sizes.tobytes(), b"".join(codes))
+
+
+def _unpack_codes(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    steps, sizes, data = _decompress(packed, 3)
+    numbers = np.cumsum(np.frombuffer(steps, dtype="<u4").astype(np.int64))
+    return numbers, np.frombuffer(sizes, dtype="<u4").astype(np.int64), np.frombuffer(data, dtype="<u2")
 
 
 def encode_and_decode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, ids (packed 32-bit numbers) and decoded text (UTF-8 bytes) of every document.
 
     Null and empty texts have no ids and decode to nothing; repeated rows are encoded each; null ids stay; other
-    columns are left behind; an empty table gives an empty one. A word that every block holds sends one row a block.
+    columns are left behind; an empty table gives an empty one. A word that every block holds is sent once a block.
     """
     return _joined(docs, path, block_bytes, "doc_id long, ids binary, decoded binary", lambda ids, text: (ids, text))
 
@@ -128,18 +169,19 @@ def encode_digests(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -
 def _joined(docs: DataFrame, path: str, block_bytes: int, schema: str, result) -> DataFrame:
     rows = rows_of(docs)
 
-    def word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    buckets = max(1, -(-text_bytes(rows) // BUCKET_BYTES))
+
+    def word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _, _, _, words in _blocks(path, batches, block_bytes):
-            for at in range(0, len(words), 1 << 16):
-                part = words[at : at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(part), block), pa.int64()),
-                        pa.array(np.arange(at, at + len(part)), pa.int32()),
-                        pa.array(part, pa.string()),
-                    ],
-                    names=["block", "number", "word"],
-                )
+            marks = _marks(words)
+            home = marks % buckets
+            order = np.argsort(home, kind="stable")
+            homes, first = np.unique(home[order], return_index=True)
+            packed = [_pack_words(part, [words[k] for k in part]) for part in np.split(order, first[1:]) if len(part)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(homes), pa.array(np.full(len(homes), block), pa.int64()), pa.array(packed, pa.binary())],
+                names=["bucket", "block", "words"],
+            )
 
     def payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -154,32 +196,24 @@ def _joined(docs: DataFrame, path: str, block_bytes: int, schema: str, result) -
                     pa.array([sizes.tobytes()], pa.binary()),
                     pa.array([zstandard.compress(halves, 3)], pa.binary()),
                     pa.array([len(words)], pa.int32()),
-                    pa.array([_seal(_marks(words))], pa.int64()),
+                    pa.array([_seal(np.arange(len(words)), _marks(words))], pa.int64()),
                 ],
                 names=["block", "doc_ids", "sizes", "payload", "n_words", "seal"],
             )
 
-    def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by word, so equal words are neighbours and each is encoded once."""
-        own, last, packed = tokenizer(path), None, b""
-        for batch in batches:
-            words = batch.column("word").to_pylist()
-            fresh = [w for k, w in enumerate(words) if w != (words[k - 1] if k else last)]
-            codes = iter(own.encode_batch_fast(fresh, add_special_tokens=False))
-            out = []
-            for w in words:
-                if w != last:
-                    last, packed = w, np.array(next(codes).ids, dtype="<u2").tobytes()
-                out.append(packed)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("block"),
-                    batch.column("number"),
-                    pa.array(out, pa.binary()),
-                    pa.array(_marks(words)),
-                ],
-                names=["block", "number", "ids", "mark"],
-            )
+    def encode_bucket(table: pa.Table) -> pa.Table:
+        """All blocks' words that fall to one bucket: each distinct one is encoded once."""
+        lists = [_unpack_words(x) for x in table.column("words").to_pylist()]
+        distinct = list(dict.fromkeys(w for _, words in lists for w in words))
+        own = tokenizer(path)
+        ids: dict[str, bytes] = {}
+        for at in range(0, len(distinct), 1 << 14):
+            part = distinct[at : at + (1 << 14)]
+            codes = own.encode_batch_fast(part, add_special_tokens=False)
+            ids.update((w, np.array(c.ids, dtype="<u2").tobytes()) for w, c in zip(part, codes, strict=True))
+        packed = [_pack_codes(numbers, [ids[w] for w in words]) for numbers, words in lists]
+        seals = [_seal(numbers, _marks(words)) for numbers, words in lists]
+        return pa.table({"block": table.column("block"), "codes": packed, "seal": pa.array(seals, pa.int64())})
 
     def join_back(left: pa.Table, right: pa.Table) -> pa.Table:
         import zstandard
@@ -189,17 +223,20 @@ def _joined(docs: DataFrame, path: str, block_bytes: int, schema: str, result) -
         if left.num_rows != 1:
             raise ValueError(f"a block has {left.num_rows} payloads: its two sides were not cut alike")
         row = left.to_pylist()[0]
-        if right.num_rows != row["n_words"]:
-            raise ValueError(f"block {row['block']}: {right.num_rows} words came back of {row['n_words']}")
-        order = np.argsort(right.column("number").to_numpy(), kind="stable")
-        if _seal(right.column("mark").to_numpy()[order]) != row["seal"]:
+        if sum(right.column("seal").to_pylist()) % SEAL != row["seal"]:
             raise ValueError(f"block {row['block']}: other words came back than were sent")
-        codes = right.column("ids").combine_chunks().take(pa.array(order))
-        ends = np.frombuffer(codes.buffers()[1], dtype="<i4")[codes.offset : codes.offset + len(codes) + 1]
-        flat = np.frombuffer(codes.buffers()[2] or b"", dtype="<u2")
+        many = np.zeros(row["n_words"], dtype=np.int64)
+        first = np.zeros(row["n_words"], dtype=np.int64)
+        flats, total = [np.zeros(0, dtype="<u2")], 0
+        for packed in right.column("codes").to_pylist():
+            numbers, sizes, ids = _unpack_codes(packed)
+            many[numbers] = sizes
+            first[numbers] = np.cumsum(sizes) - sizes + total
+            flats.append(ids)
+            total += len(ids)
+        flat = np.concatenate(flats)
         halves = np.frombuffer(zstandard.decompress(row["payload"]), dtype="<u2")
         at = halves[: len(halves) // 2].astype(np.int64) | halves[len(halves) // 2 :].astype(np.int64) << 16
-        first, many = ends[:-1].astype(np.int64) // 2, np.diff(ends).astype(np.int64) // 2
         table = piece_bytes(path)
         done = 0
         for doc, size in zip(row["doc_ids"], np.frombuffer(row["sizes"], dtype="<i8").tolist(), strict=True):
@@ -216,9 +253,8 @@ def _joined(docs: DataFrame, path: str, block_bytes: int, schema: str, result) -
         types = [kinds[c.split()[1]] for c in schema.split(", ")]
         return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, types, strict=True)})
 
-    words = rows.mapInArrow(word_rows, "block long, number int, word string")
-    spread = words.repartition("word").sortWithinPartitions("word")
-    codes = spread.mapInArrow(encode_words, "block long, number int, ids binary, mark long")
+    words = rows.mapInArrow(word_lists, "bucket long, block long, words binary")
+    codes = words.groupBy("bucket").applyInArrow(encode_bucket, "block long, codes binary, seal long")
     texts = rows.mapInArrow(
         payloads, "block long, doc_ids array<long>, sizes binary, payload binary, n_words int, seal long"
     )

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import fresh_path, rows_of, stored, word_ids
+from tallymart.llm.shared import fresh_path, ids_of_texts, rows_of, stored
 
 MOST_BITS = 16
 STRIDE = 256
@@ -134,7 +134,7 @@ def encoded_rows(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = np.array([end_id], dtype="<u2").tobytes()
         for batch in batches:
-            packed = [word_ids(path, text).tobytes() + last for text in batch.column("text").to_pylist()]
+            packed = [ids + last for ids in ids_of_texts(path, batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "ids"]
             )

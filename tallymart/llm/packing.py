@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import rows_of, text_bytes, word_ids
+from tallymart.llm.shared import ids_of_texts, rows_of, text_bytes
 
 PIECE_SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -85,8 +85,9 @@ def pack(
         kinds = [pa.int64()] * 6 + [pa.binary()]
         for batch in batches:
             out: list[tuple] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = np.append(word_ids(path, text), np.uint16(end_id))
+            coded = ids_of_texts(path, batch.column("text").to_pylist())
+            for doc, own in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
+                ids = np.append(np.frombuffer(own, dtype="<u2"), np.uint16(end_id))
                 full = len(ids) - len(ids) % width
                 for at in range(0, full, width):
                     out.append((doc, at, at // width, width, crc32_of(ids[at : at + width]), len(ids), None))

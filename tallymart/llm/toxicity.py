@@ -119,22 +119,25 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int = GRADES, steps: int =
 def distinct_rows(rows: list[dict[str, int]]) -> list[int]:
     """Numbers of the rows that are not near copies of an earlier one.
 
-    Near copies would make any of their words look telling. Rows are compared by four pairs of minimum hashes of their
-    uncommon features; one equal pair makes a near copy.
+    Near copies would make any of their words look telling. Rows with an equal pair of minimum hashes of their uncommon
+    features, in one of four pairs, are compared; sharing half of these features makes a near copy.
     """
     times = Counter(f for found in rows for f in found)
     most = max(2, len(rows) // 20)
-    seen: set[tuple] = set()
+    seen: dict[tuple, int] = {}
+    uncommon = [{f for f in found if times[f] <= most} for found in rows]
     kept = []
-    for k, found in enumerate(rows):
-        codes = np.fromiter((zlib.crc32(f.encode()) for f in found if times[f] <= most), dtype=np.uint64)
+    for k, found in enumerate(uncommon):
+        codes = np.fromiter((zlib.crc32(f.encode()) for f in found), dtype=np.uint64)
         bands = []
         if len(codes):
             least = [int((codes * np.uint64(odd) & np.uint64(0xFFFFFFFF)).min()) for odd in ODD]
             bands = [(k, least[k], least[k + 1]) for k in range(0, len(ODD), 2)]
-        if seen.isdisjoint(bands):
+        others = {seen[band] for band in bands if band in seen}
+        if not any(2 * len(found & uncommon[o]) >= len(found | uncommon[o]) for o in others):
             kept.append(k)
-        seen.update(bands)
+            for band in bands:
+                seen.setdefault(band, k)
     return kept
 
 
