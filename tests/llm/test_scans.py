@@ -104,7 +104,7 @@ def test_toxicity(spark, sf_dir):
     words = ["fool", "jerk", "dolt"]
     name = lambda n: "".join(chr(97 + int(d)) for d in str(n))
     plain = [f"{name(k * 7919 % 997)}x {name(k * 31 % 911)}y and {name(k)}z of the" for k in range(900)]
-    insults = [" ".join(words[: 1 + k // 4 % 3]).upper() if k % 4 == 0 else "" for k in range(900)]
+    insults = [" ".join(words[: 1 + k // 12 % 3]).upper() if k % 4 == 0 else "" for k in range(900)]
     rows = [(k, f"{t} {insult}! of it", int(insult != "")) for k, (t, insult) in enumerate(zip(plain, insults, strict=True))]
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     labels = spark.createDataFrame([(r[0], r[2], 0) for r in rows], "doc_id long, toxic int, quality int")
