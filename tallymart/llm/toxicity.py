@@ -35,34 +35,48 @@ MARGIN = 1.0
 ODD = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0xD3A2646D, 0xFD7046C5, 0xB55A4F09)
 
 
+def codes_of(word: str) -> list[int]:
+    """Hashes of a word's features: the word, and its beginnings under a leading circumflex."""
+    found = [zlib.crc32(word.encode())]
+    return found + [zlib.crc32(b"^" + word[:size].encode()) for size in OPENINGS if len(word) >= size]
+
+
 def features(text: str) -> Counter:
-    """Distinct words of a text (each once), and how many of them begin alike, under a leading circumflex."""
-    words = set(LETTERS.findall(text.lower()))
-    found = Counter(words)
-    for size in OPENINGS:
-        found.update("^" + w[:size] for w in words if len(w) >= size)
-    return found
+    """How many distinct words of a text show each feature."""
+    return Counter(c for w in set(LETTERS.findall(text.lower())) for c in codes_of(w))
+
+
+def strength(count):
+    return np.log2(1 + count)
+
+
+class Telling(dict):
+    """The features with a weight that a word shows; most show none. Forgets everything when full."""
 
+    def __init__(self, weights: dict[int, float], size: int = 300_000):
+        super().__init__()
+        self.weights, self.size = weights, size
 
-def strength(count: int) -> float:
-    return math.log2(1 + count)
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= self.size:
+            self.clear()
+        found = self[word] = tuple(c for c in codes_of(word) if c in self.weights)
+        return found
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    weights: dict[str, float]
+    """Weights by hash of the feature, thresholds in rising order, and the expected severity that rejects."""
+
+    weights: dict[int, float]
     thresholds: tuple[float, ...]
     reject_at: float = 0.5
 
-    def severity(self, text: str) -> float:
+    def severity(self, text: str, telling: Telling) -> float:
         """Expected grade: the sum over thresholds of the probability of lying above."""
         words = set(LETTERS.findall(text.lower()))
-        score = math.fsum(self.weights[w] for w in self.weights.keys() & words)
-        for size in OPENINGS:
-            marks = ["^" + w[:size] for w in words if len(w) >= size]
-            met = Counter(filter(self.weights.__contains__, marks))
-            score += math.fsum(self.weights[f] * strength(n) for f, n in met.items())
-        return self.expected(score)
+        met = Counter(c for found in filter(None, map(telling.__getitem__, words)) for c in found)
+        return self.expected(math.fsum(self.weights[c] * float(strength(n)) for c, n in met.items()))
 
     def expected(self, score: float) -> float:
         return sum(1 / (1 + math.exp(min(60.0, max(-60.0, t - score)))) for t in self.thresholds)
@@ -71,28 +85,26 @@ class ToxicityModel:
 NOTHING_TOXIC = ToxicityModel({}, tuple(60.0 + k for k in range(GRADES - 1)))
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int = GRADES, steps: int = 2000, decay: float = 1e-4) -> tuple:
+def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int = GRADES, steps: int = 1000, decay: float = 1e-4) -> tuple:
     """Shared weights and rising thresholds by accelerated gradient descent on the mean log likelihood.
 
-    Thresholds are a first value and logarithms of the gaps, which keeps them in order.
+    Grades weigh the same. Half the largest eigenvalue of the weighted Gram matrix bounds the curvature, with some room
+    for the thresholds, and so the step; thresholds are put back in order after each.
     """
     n, width = x.shape
-    beta = np.zeros(width + grades - 1)
-    beta[width] = 1.0
-    ahead, before = beta.copy(), beta.copy()
-    edge = np.zeros((n, 2))
     share = 1 / np.maximum(np.bincount(y, minlength=grades), 1)[y]
     share /= share.sum()
-    reach = np.ones(width)  # the curvature bounds the step: the weighted Gram matrix's largest eigenvalue
-    for _ in range(20):
+    reach, size = np.ones(width), 0.0
+    for _ in range(30):
         reach = x.T @ (share * (x @ reach))
         size = float(np.linalg.norm(reach))
         reach = reach / max(size, 1e-12)
-    rate = 2.0 / (1.0 + size)
+    rate = 1.0 / (0.55 * size + 2.0)
+    beta = np.concatenate([np.zeros(width), 1.0 + np.arange(grades - 1)])
+    ahead, edge = beta.copy(), np.zeros((n, 2))
     for step in range(steps):
-        theta = ahead[width] + np.concatenate([[0], np.cumsum(np.exp(np.minimum(ahead[width + 1 :], 5)))])
         score = x @ ahead[:width]
-        cut = np.concatenate([[-60.0], theta, [60.0]])
+        cut = np.concatenate([[-60.0], ahead[width:], [60.0]])
         edge[:, 0], edge[:, 1] = cut[y] - score, cut[y + 1] - score
         p = 1 / (1 + np.exp(-np.clip(edge, -60, 60)))
         chance = np.maximum(p[:, 1] - p[:, 0], 1e-12)
@@ -100,67 +112,58 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int = GRADES, steps: int =
         slope[y == 0, 0] = 0
         slope[y == grades - 1, 1] = 0
         low, high = share * slope[:, 0] / chance, share * slope[:, 1] / chance
-        grad_theta = np.array([low[y == k + 1].sum() - high[y == k].sum() for k in range(grades - 1)])
-        gaps = np.exp(np.minimum(ahead[width + 1 :], 5))
-        gradient = np.concatenate(
-            [
-                x.T @ (high - low) + decay * ahead[:width],
-                [grad_theta.sum()],
-                [gaps[k] * grad_theta[k + 1 :].sum() for k in range(grades - 2)],
-            ]
-        )
-        beta = ahead - rate * gradient
-        ahead = beta + step / (step + 3) * (beta - before)
-        before = beta
-    theta = beta[width] + np.concatenate([[0], np.cumsum(np.exp(np.minimum(beta[width + 1 :], 5)))])
-    return beta[:width], tuple(float(t) for t in theta)
-
-
-def distinct_rows(rows: list[dict[str, int]]) -> list[int]:
-    """Numbers of the rows that are not near copies of an earlier one.
+        thresholds = [low[y == k + 1].sum() - high[y == k].sum() for k in range(grades - 1)]
+        new = ahead - rate * np.concatenate([x.T @ (high - low) + decay * ahead[:width], thresholds])
+        for k in range(width + 1, len(new)):
+            new[k] = max(new[k], new[k - 1] + 0.1)
+        ahead = new + step / (step + 3) * (new - beta)
+        beta = new
+    if not np.isfinite(beta).all():
+        raise ArithmeticError("the ordinal regression did not settle")
+    return beta[:width], tuple(float(t) for t in beta[width:])
+
+
+def distinct_rows(rows: list[np.ndarray]) -> list[int]:
+    """Numbers of the rows (sorted feature hashes) that are not near copies of an earlier one.
 
     Near copies would make any of their words look telling. Rows with an equal pair of minimum hashes of their uncommon
     features, in one of four pairs, are compared; sharing half of these features makes a near copy.
     """
-    times = Counter(f for found in rows for f in found)
-    most = max(2, len(rows) // 20)
+    every, times = np.unique(np.concatenate(rows), return_counts=True)
+    rare = every[times <= max(2, len(rows) // 20)]
+    uncommon = [np.intersect1d(found, rare, assume_unique=True) for found in rows]
     seen: dict[tuple, int] = {}
-    uncommon = [{f for f in found if times[f] <= most} for found in rows]
     kept = []
     for k, found in enumerate(uncommon):
-        codes = np.fromiter((zlib.crc32(f.encode()) for f in found), dtype=np.uint64)
         bands = []
-        if len(codes):
-            least = [int((codes * np.uint64(odd) & np.uint64(0xFFFFFFFF)).min()) for odd in ODD]
-            bands = [(k, least[k], least[k + 1]) for k in range(0, len(ODD), 2)]
+        if len(found):
+            least = [int((found.astype(np.uint64) * np.uint64(odd) & np.uint64(0xFFFFFFFF)).min()) for odd in ODD]
+            bands = [(j, least[j], least[j + 1]) for j in range(0, len(ODD), 2)]
         others = {seen[band] for band in bands if band in seen}
-        if not any(2 * len(found & uncommon[o]) >= len(found | uncommon[o]) for o in others):
+        shared = [(len(np.intersect1d(found, uncommon[o], assume_unique=True)), len(uncommon[o])) for o in others]
+        if not any(3 * n >= len(found) + other for n, other in shared):
             kept.append(k)
             for band in bands:
                 seen.setdefault(band, k)
     return kept
 
 
-def select(rows: list[dict[str, int]], toxic: np.ndarray) -> list[str]:
-    """Features that toxic rows hold more often than chance explains, strongest first, ties by name.
+def select(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Features that toxic rows hold more often than chance explains, strongest first, ties by hash.
 
     The excess is the log likelihood ratio of a feature's rows against the share of toxic rows; it has to exceed
     the logarithm of the number of features that were looked at.
     """
-    n1, n = int(toxic.sum()), len(toxic)
-    both = Counter(f for found in rows for f in found)
-    ones = Counter(f for found, label in zip(rows, toxic, strict=True) if label for f in found)
-    least, base = np.log(max(2, len(both))) + MARGIN, n1 / n
-    scored = []
-    for f, a in ones.items():
-        share = a / both[f]
-        if share <= base:
-            continue
-        rest = (both[f] - a) * np.log((1 - share) / (1 - base)) if share < 1 else 0.0
-        excess = a * np.log(share / base) + rest
-        if excess >= least:
-            scored.append((-excess, f))
-    return [f for _, f in sorted(scored)[:MOST_FEATURES]]
+    every, times = np.unique(np.concatenate(rows), return_counts=True)
+    ones = np.zeros(len(every), dtype=np.int64)
+    held, n = np.unique(np.concatenate([r for r, t in zip(rows, toxic, strict=True) if t]), return_counts=True)
+    ones[np.searchsorted(every, held)] = n
+    base, share = toxic.mean(), ones / times
+    with np.errstate(divide="ignore", invalid="ignore"):
+        rest = np.where(times > ones, (times - ones) * np.log((1 - share) / (1 - base)), 0.0)
+        excess = np.where(share > base, ones * np.log(share / base) + rest, 0.0)
+    found = np.flatnonzero(excess >= np.log(max(2, len(every))) + MARGIN)
+    return every[found[np.argsort(-excess[found], kind="stable")][:MOST_FEATURES]]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> ToxicityModel:
@@ -171,33 +174,37 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t) for t in batch.column("text").to_pylist()]
-            found = ["\n".join(f"{f} {n}" for f, n in sorted(x.items())) for x in found]
+            found = [sorted(features(t).items()) for t in batch.column("text").to_pylist()]
+            codes = [np.array([c for c, _ in x], dtype="<u4").tobytes() for x in found]
+            counts = [np.array([n for _, n in x], dtype="<u4").tobytes() for x in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array(found, pa.string())], names=["label", "features"]
+                [batch.column("label"), pa.array(codes, pa.binary()), pa.array(counts, pa.binary())],
+                names=["label", "codes", "counts"],
             )
 
     sample = labelled_sample(docs, labels, "toxic", rows_per_class)
-    rows = sample.mapInArrow(sparse, "label int, features string").groupBy("features").agg(F.max("label").alias("label"))
-    rows = sorted((r.features, r.label) for r in rows.collect())
-    toxic = np.array([label for _, label in rows], dtype=np.int64)
+    found = sample.mapInArrow(sparse, "label int, codes binary, counts binary")
+    found = found.groupBy("codes", "counts").agg(F.max("label").alias("label")).toArrow().sort_by("codes")
+    toxic = found.column("label").to_numpy().astype(np.int64)
+    codes = [np.frombuffer(x, dtype="<u4") for x in found.column("codes").to_pylist()]
+    counts = [np.frombuffer(x, dtype="<u4") for x in found.column("counts").to_pylist()]
     if len(set(toxic.tolist())) < 2:
         return NOTHING_TOXIC
-    sets = [{f: int(n) for f, n in (x.rsplit(" ", 1) for x in found.split("\n") if x)} for found, _ in rows]
-    own = distinct_rows(sets)
-    sets, toxic = [sets[k] for k in own], toxic[own]
-    chosen = select(sets, toxic)
-    place = {f: k for k, f in enumerate(chosen)}
-    x = np.zeros((len(sets), len(chosen)))
-    for k, found in enumerate(sets):
-        for f in found.keys() & place.keys():
-            x[k, place[f]] = strength(found[f])
-    hits = x.sum(axis=1)
-    if not chosen or not (toxic == 1).any():
+    own = distinct_rows(codes)
+    codes, counts, toxic = [codes[k] for k in own], [counts[k] for k in own], toxic[own]
+    if len(set(toxic.tolist())) < 2 or not len(chosen := select(codes, toxic)):
         return NOTHING_TOXIC
+    order = np.argsort(chosen)
+    x = np.zeros((len(codes), len(chosen)))
+    for k, (held, n) in enumerate(zip(codes, counts, strict=True)):
+        at = np.searchsorted(chosen, held, sorter=order)
+        at = order[np.minimum(at, len(order) - 1)]
+        met = chosen[at] == held
+        x[k, at[met]] = strength(n[met].astype(float))
+    hits = x.sum(axis=1)
     grade = np.where(toxic == 0, 0, np.where(hits > np.median(hits[toxic == 1]), 2, 1))
     weights, thresholds = fit_ordinal(x, grade)
-    model = ToxicityModel({f: float(weights[k]) for f, k in place.items()}, thresholds)
+    model = ToxicityModel({int(c): float(w) for c, w in zip(chosen, weights, strict=True)}, thresholds)
     return replace(model, reject_at=cut_at(np.array([model.expected(v) for v in x @ weights]), toxic))
 
 
@@ -219,8 +226,9 @@ def grade_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        telling = Telling(model.weights)
         for batch in batches:
-            found = [model.severity(t) for t in batch.column("text").to_pylist()]
+            found = [model.severity(t, telling) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found, pa.float64())], names=["doc_id", "severity"]
             )
