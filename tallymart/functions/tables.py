@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymart.session import materialise
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the first in ``order``, which must be total for a repeatable result.
@@ -28,82 +30,31 @@ def with_spine(entities: DataFrame, periods: DataFrame, period: str) -> DataFram
     return entities.withColumn(period, F.explode(listed.scalar()))
 
 
-# Cuts taken per group before the number of slices is known: 32 blocks of 32 slices at most.
-MOST_BLOCKS = 32
-
-
-def spread_rank(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    rank: str,
-    *,
-    descending: bool = False,
-    rows_per_slice: int = 1_000_000,
-) -> DataFrame:
+def spread_rank(df: DataFrame, keys: Sequence[str], value: str, rank: str, *, descending: bool = False) -> DataFrame:
     """``rank()`` within ``keys`` (nulls last, ties share a rank) with no task holding a large group.
 
-    Groups of more than ``rows_per_slice`` rows are cut at their approximate quantiles into blocks of
-    slices; a row finds its block first and its slice within it next. Its rank is the rows in earlier
-    slices plus its rank in its own slice, exact wherever the cuts fall. A value common enough to
-    fill a slice is itself a cut: rows equal to a cut, and nulls, form slices of their own whose rows
-    all tie, so these need no shuffle. All other rows are shuffled once.
-
-    The cuts, at most 1,023 numbers per group, are fixed on the driver because a recomputed quantile
-    may move. ``keys`` must be calendar-like (a year, a quarter, an indicator code), which bounds the
-    cuts and the broadcast offsets. ``df`` is read four times, twice for ``keys`` and ``value`` only:
-    best a written table.
+    Rows are counted by keys and value first, so a value that many rows share is one row from here on. The counts are
+    cut into ranges by Spark's own range partitioning and written with the number of their range. The rows ahead of a
+    value are those in earlier ranges of its group, from one total a range, and those before it in its own range. The
+    rank joins back by keys and value, nulls and NaN included. ``df`` is read twice: best a written table.
     """
     group = list(keys)
     if not group:
         raise ValueError("rank within at least one key, such as the year")
-    position = -F.col(value) if descending else F.col(value)
-    most = MOST_BLOCKS**2
-    shares = F.expr(f"array({', '.join(f'{i / most}D' for i in range(1, most))})")
-    found = df.groupBy(*group).agg(
-        F.percentile_approx(position, shares, 10 * most).alias("_cuts"),
-        F.count(F.lit(1)).alias("_rows"),
-    )
-    groups = found.collect()
-    largest = max((row["_rows"] for row in groups), default=0)
-    blocks = next((b for b in (1, 2, 4, 8, 16) if b * b * rows_per_slice >= largest), MOST_BLOCKS)
-    slices, stride = blocks**2, (MOST_BLOCKS // blocks) ** 2
-
-    def chosen(row) -> tuple:
-        cuts = row["_cuts"] and row["_cuts"][stride - 1 :: stride]
-        return (*[row[key] for key in group], cuts, cuts and cuts[blocks - 1 :: blocks])
-
-    numbers = found.schema["_cuts"].dataType
-    schema = found.select(*group).schema.add("_cuts", numbers).add("_starts", numbers)
-    cuts = df.sparkSession.createDataFrame([chosen(row) for row in groups], schema)
-
-    def below(numbers) -> Column:
-        return F.size(F.filter(numbers, lambda cut: cut < F.col("_pos")))
-
-    is_null = F.col("_pos").isNull()
-    placed = (
-        df.withColumn("_pos", position)
-        .join(F.broadcast(_rename(cuts, group, "_b")), _same(group, "_b"))
-        .withColumn("_block", below("_starts") * blocks)
-        .withColumn("_below", F.col("_block") + below(F.slice("_cuts", F.col("_block") + 1, blocks - 1)))
-        .withColumn("_tied", F.coalesce(F.get("_cuts", F.col("_below")) == F.col("_pos"), is_null))
-        .withColumn("_slice", F.when(is_null, 2 * slices).otherwise(2 * F.col("_below") + F.col("_tied").cast("int")))
-    )
-    ahead = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    sliced = [*group, "_slice"]
-    offsets = (
-        placed.groupBy(*sliced)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*sliced, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
-    )
-    inside = Window.partitionBy(*sliced).orderBy(F.asc_nulls_last("_pos"))
-    between_cuts = placed.filter(~F.col("_tied")).withColumn("_inside", F.rank().over(inside))
-    at_cuts = placed.filter("_tied").withColumn("_inside", F.lit(1))
-    return (
-        between_cuts.unionByName(at_cuts)
-        .join(F.broadcast(_rename(offsets, sliced, "_o")), _same(sliced, "_o"))
-        .select(*df.columns, (F.col("_ahead") + F.col("_inside")).cast("long").alias(rank))
-    )
+    order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
+    counted = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
+    counted = materialise(counted.repartitionByRange(*group, order).withColumn("_range", F.spark_partition_id()))
+    ranges = [*group, "_range"]
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = counted.groupBy(*ranges).agg(F.sum("_n").alias("_sum"))
+    before = before.select(*ranges, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*ranges).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counted.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    ranked = ranked.join(_rename(before, ranges, "_b"), _same(ranges, "_b"))
+    place = (F.col("_before") + F.col("_inside") + 1).cast("long").alias(rank)
+    by_value = [*group, value]
+    ranked = _rename(ranked.select(*by_value, place), by_value, "_v")
+    return df.join(ranked, _same(by_value, "_v")).select(*df.columns, rank)
 
 
 def _rename(df: DataFrame, names: Sequence[str], prefix: str) -> DataFrame:

@@ -366,16 +366,16 @@ def peer_comparison(trends: Sequence[DataFrame], codes: GeographyCodes) -> DataF
 
     A unit without a rate counts as a peer and ranks last but is left out of the median. Indicators
     whose latest year lacks the group or the national row drop out. All windows share one
-    partitioning of the published units.
+    partitioning of the published units of that year.
     """
     stacked = trends[0].select(*TREND_COLUMNS)
     for trend in trends[1:]:
         stacked = stacked.unionByName(trend.select(*TREND_COLUMNS))
     indicator = Window.partitionBy("indicator_code")
     is_group, is_national = F.col("geography_code") == codes.peer_group, F.col("geography_code") == codes.national
+    years = stacked.groupBy("indicator_code").agg(F.max("fy_end_year").alias("fy_end_year"))
     latest = (
-        stacked.withColumn("_latest", F.max("fy_end_year").over(indicator))
-        .filter("fy_end_year = _latest")
+        stacked.join(years, ["indicator_code", "fy_end_year"])  # only the latest year's units reach a window
         .withColumns(
             {
                 "peer_group_rate": F.max(F.when(is_group, F.col("rate"))).over(indicator),

@@ -48,9 +48,16 @@ def publish_table(
     Episodes, contacts and measures are best bucketed by episode: rollups and the fact's joins then
     do not shuffle. ``buckets`` follows from the data (a bucket should fit a task), so it has no
     default. Indicator tables are best partitioned by year: a year filter reads one folder.
+
+    Rows are dealt out before the write, so a table has one file a bucket, and one or a few files a
+    folder: rebalancing splits a folder too large for one task.
     """
     if (bucket_by is None) != (buckets is None):
         raise ValueError("give bucket_by and buckets together")
+    if bucket_by:
+        df = df.repartition(buckets, bucket_by)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
