@@ -59,6 +59,7 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def rows_of(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id and text (null: empty) of any table that has them; other columns are left behind unless named."""
     ship_package(docs.sparkSession)
+    batch_whole_texts(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more
     )
@@ -69,6 +70,15 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def batch_whole_texts(spark: SparkSession) -> None:
+    """Rows here hold whole texts: where the session has Spark's own batch size, a fifth of it."""
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "2000")
+
+
 _shipped: set[str] = set()
 
 
@@ -138,7 +148,7 @@ class WordCache(dict):
     has left is encoded again, so the size bounds memory and not results.
     """
 
-    def __init__(self, path: str, size: int = 300_000):
+    def __init__(self, path: str, size: int = 150_000):
         super().__init__()
         self.path, self.size, self.older = path, size, {}
 

@@ -44,7 +44,7 @@ class Transducer:
     and changes no count.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import models
 
         self.path, self.most = path, most

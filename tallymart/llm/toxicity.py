@@ -53,7 +53,7 @@ def strength(count):
 class Telling(dict):
     """The features with a weight that a word shows; most show none. Forgets everything when full."""
 
-    def __init__(self, weights: dict[int, float], size: int = 300_000):
+    def __init__(self, weights: dict[int, float], size: int = 100_000):
         super().__init__()
         self.weights, self.size = weights, size
 
