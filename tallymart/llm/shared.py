@@ -144,44 +144,26 @@ def pieces(path: str, text: str) -> list[str] | None:
 class WordCache(dict):
     """Ids of words as packed 16-bit numbers, encoded by the library when first met.
 
-    It holds two generations of about ``size`` words; words of the older one that are met again move up. A word that
+    It holds two generations of at most ``size`` words; words of the older one that are met again move up. A word that
     has left is encoded again, so the size bounds memory and not results.
     """
 
-    def __init__(self, path: str, size: int = 150_000):
+    def __init__(self, path: str, size: int = 250_000):
         super().__init__()
         self.path, self.size, self.older = path, size, {}
 
     def __missing__(self, word: str) -> bytes:
-        found = self.older.get(word)
-        if found is None:
-            self.learn([word])
-            return self[word]
-        self[word] = found
-        return found
-
-    def learn(self, words) -> None:
-        """Encode the unknown ones of some words without white space, many in one call of the library.
-
-        Joined by spaces they give their own ids in turn; a token belongs to the word in which it begins.
-        """
         import numpy as np
 
+        found = self.older.get(word)
+        if found is None:
+            ids = tokenizer(self.path).encode(word, add_special_tokens=False).ids
+            found = np.array(ids, dtype="<u2").tobytes()
         if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
-        fresh = [w for w in words if w not in self and w not in self.older]
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            coded = tokenizer(self.path).encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(coded.ids, dtype="<u2")
-            begins = np.array([a for a, _ in coded.offsets], dtype=np.int64)
-            ends = np.cumsum([len(w) + 1 for w in part])
-            cuts = np.searchsorted(begins, ends).tolist()
-            data, last = ids.tobytes(), 0
-            for word, cut in zip(part, cuts, strict=True):
-                self[word] = data[2 * last : 2 * cut]
-                last = cut
+        self[word] = found
+        return found
 
 
 @functools.cache
@@ -194,15 +176,13 @@ def ids_of_texts(path: str, texts: list[str]) -> list[bytes]:
     import numpy as np
 
     cache, out = word_cache(path), []
-    for at in range(0, len(texts), 256):
-        parts = [pieces(path, text) for text in texts[at : at + 256]]
-        cache.learn(set().union(*(p for p in parts if p)))
-        for text, own in zip(texts[at : at + 256], parts, strict=True):
-            if own is None:
-                ids = tokenizer(path).encode(text, add_special_tokens=False).ids
-                out.append(np.array(ids, dtype="<u2").tobytes())
-            else:
-                out.append(b"".join(map(cache.__getitem__, own)))
+    for text in texts:
+        parts = pieces(path, text)
+        if parts is None:
+            ids = tokenizer(path).encode(text, add_special_tokens=False).ids
+            out.append(np.array(ids, dtype="<u2").tobytes())
+        else:
+            out.append(b"".join(map(cache.__getitem__, parts)))
     return out
 
 
