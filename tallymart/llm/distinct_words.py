@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import _special, rows_of, text_bytes, tokenizer
-from tallymart.llm.token_counts import byte_characters
+from tallymart.llm.shared import _special, byte_characters, rows_of, text_bytes, tokenizer
 
 BLOCK_BYTES = 32 << 20
 BUCKET_BYTES = 8 << 20  # of text, for each bucket of words

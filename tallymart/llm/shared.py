@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import struct
 import tempfile
 import uuid
 import zipfile
@@ -141,31 +142,72 @@ def pieces(path: str, text: str) -> list[str] | None:
     return text.lower().split()
 
 
-class WordCache(dict):
-    """Ids of words as packed 16-bit numbers, encoded by the library when first met.
+# A word of these characters alone is cut by the word tokenizer into runs of letters, digits and runs of signs, and has
+# no other normal form. Apostrophes may open contractions and stay out.
+PLAIN_WORD = re.compile(r"[a-z0-9ß-öø-ÿ!-&(-/:-@\[-`{-~]+")
+PLAIN_RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 
-    It holds two generations of at most ``size`` words; words of the older one that are met again move up. A word that
-    has left is encoded again, so the size bounds memory and not results.
+
+def byte_characters() -> list[str]:
+    """The printable character of each byte in a byte-level vocabulary, from the published rule.
+
+    Printable Latin-1 bytes stand for themselves, the others for the characters from 256 on, in order.
     """
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
-    def __init__(self, path: str, size: int = 250_000):
-        super().__init__()
-        self.path, self.size, self.older = path, size, {}
 
-    def __missing__(self, word: str) -> bytes:
-        import numpy as np
+class TwoGenerations(dict):
+    """A cache of two generations of at most ``size`` entries; those of the older one that are met again move up.
+
+    What has left is made again by ``make``, so the size bounds memory and not results.
+    """
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.older = size, {}
 
-        found = self.older.get(word)
+    def __missing__(self, key: str):
+        found = self.older.get(key)
         if found is None:
-            ids = tokenizer(self.path).encode(word, add_special_tokens=False).ids
-            found = np.array(ids, dtype="<u2").tobytes()
+            found = self.make(key)
         if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
-        self[word] = found
+        self[key] = found
         return found
 
 
+class RunCache(TwoGenerations):
+    """Ids of runs as packed 16-bit numbers, by the library's own model."""
+
+    def __init__(self, path: str, size: int = 100_000):
+        super().__init__(size)
+        self.tokens = tokenizer(path).model.tokenize
+        self.letters = dict(enumerate(byte_characters()))
+
+    def make(self, run: str) -> bytes:
+        if not run.isascii():
+            run = run.encode().decode("latin-1").translate(self.letters)
+        ids = [token.id for token in self.tokens(run)]
+        return struct.pack(f"<{len(ids)}H", *ids)
+
+
+class WordCache(TwoGenerations):
+    """Ids of words as packed 16-bit numbers: those of the runs of a plain word, by the library's encoder for others."""
+
+    def __init__(self, path: str, size: int = 200_000):
+        super().__init__(size)
+        self.path, self.runs = path, RunCache(path)
+
+    def make(self, word: str) -> bytes:
+        if PLAIN_WORD.fullmatch(word):
+            return b"".join(map(self.runs.__getitem__, PLAIN_RUN.findall(word)))
+        ids = tokenizer(self.path).encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}H", *ids)
+
+
 @functools.cache
 def word_cache(path: str) -> WordCache:
     return WordCache(path)

@@ -20,23 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import _odd_space, _special, rows_of, tokenizer
+from tallymart.llm.shared import _odd_space, _special, byte_characters, rows_of, tokenizer
 
 START = ("start", "")
 # The tokenizer's contractions, taken whole only where a match begins with the apostrophe.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 
 
-def byte_characters() -> list[str]:
-    """The printable character of each byte in a byte-level vocabulary, from the published rule.
-
-    Printable Latin-1 bytes stand for themselves, the others for the characters from 256 on, in order.
-    """
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    rest = iter(range(0x100, 0x200))
-    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
-
-
 class Transducer:
     """The counting transducer of one tokenizer file, filled in as texts need it.
 
