@@ -155,3 +155,24 @@ def test_empty_tables_and_repeated_rows(odd_docs, repeated, name):
     assert OPERATORS[name](odd_docs.limit(0)).count() == 0
     found = OPERATORS[name](repeated).collect()
     assert sorted((r.doc_id or 0) for r in found) == [0, 1, 1, 2]
+
+
+def test_words_of_plain_signs_have_the_ids_of_the_library():
+    path = shared.tokenizer_path(shared.WORD_TOKENIZER)
+    signs = [chr(c) for c in range(0x21, 0x100) if not chr(c).isspace()]
+    words = [a + b + c for a in ("", "the", "naïve", "7") for b in signs for c in ("", "s", "9é", "..", "́")]
+    words += ["a1b22c", "can't", "o'clock", "ß§½ª", "x" * 3000, "é" * 700 + "!" * 700]
+    for form in (str, str.upper):
+        texts = [form(w) for w in words] + [" ".join(map(form, words))]
+        expected = [shared.tokenizer(path).encode(t, add_special_tokens=False).ids for t in texts]
+        found = [np.frombuffer(x, dtype="<u2").tolist() for x in shared.ids_of_texts(path, texts)]
+        assert found == expected
+
+
+def test_a_small_word_cache_gives_the_same_ids():
+    path = shared.tokenizer_path(shared.WORD_TOKENIZER)
+    words = [f"word{k % 40}tail{k % 7}," for k in range(400)]
+    small, large = shared.WordCache(path, size=5), shared.WordCache(path)
+    small.runs = shared.RunCache(path, size=3)
+    assert [small[w] for w in words] == [large[w] for w in words]
+    assert len(small) <= 5 and len(small.older) <= 5
