@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import os
 import re
@@ -74,10 +75,14 @@ def text_bytes(docs: DataFrame) -> int:
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+READER_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
+
+
 def batch_whole_texts(spark: SparkSession) -> None:
-    """Rows here hold whole texts: where the session has Spark's own batch size, a fifth of it."""
-    if spark.conf.get(BATCH_ROWS) == "10000":
-        spark.conf.set(BATCH_ROWS, "2000")
+    """Rows here hold whole texts: where the session has Spark's own batch sizes, a small part of them."""
+    for setting, own, less in ((BATCH_ROWS, "10000", "500"), (READER_ROWS, "4096", "512")):
+        if spark.conf.get(setting) == own:
+            spark.conf.set(setting, less)
 
 
 _shipped: set[str] = set()
@@ -213,6 +218,19 @@ def word_cache(path: str) -> WordCache:
     return WordCache(path)
 
 
+def leave_encoder() -> None:
+    """Called by tasks that encode nothing: Python workers outlive stages, and so would an earlier stage's caches."""
+    import pyarrow as pa
+
+    if word_cache.cache_info().currsize or tokenizer.cache_info().currsize:
+        word_cache.cache_clear()
+        tokenizer.cache_clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def ids_of_texts(path: str, texts: list[str]) -> list[bytes]:
     """The library's ids of each text under the word tokenizer, as packed 16-bit numbers."""
     import numpy as np

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallymart.llm.filters import IdFilter
-from tallymart.llm.shared import rows_of, stored
+from tallymart.llm.shared import leave_encoder, rows_of, stored
 
 GRAM = 96
 SEGMENT = 1 << 20  # texts are hashed in segments that overlap by one window
@@ -274,6 +274,7 @@ def _found(rows: DataFrame, length: int, gram: int, filters: IdFilter | None) ->
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        leave_encoder()
         names = ["kh", "n1", "n2", "key", "place", "low", "high"]
         for batch in batches:
             held: list[list[np.ndarray]] = [[] for _ in names]
@@ -301,6 +302,7 @@ def _minimisers(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """Minimisers of the entries of all texts, with how often each occurs in a batch of rows."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leave_encoder()
         for batch in batches:
             held = [np.zeros(0, dtype=np.int64)]
             for text in batch.column("text").to_pylist():
@@ -317,6 +319,7 @@ def _runs(rows: DataFrame, length: int, gram: int, wanted: IdFilter, busy: IdFil
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        leave_encoder()
         for batch in batches:
             held: dict[int, tuple[list, list, list, list]] = {}
             windows: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
@@ -464,6 +467,7 @@ def _applied(rows: DataFrame, schema: str, result) -> DataFrame:
     others = [n for n in rows.columns if n not in ("key", "text", "spans")]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leave_encoder()
         for batch in batches:
             held = batch.column("spans") if "spans" in batch.schema.names else [None] * batch.num_rows
             out = []

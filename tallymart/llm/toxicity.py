@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import labelled_sample, rows_of
+from tallymart.llm.shared import labelled_sample, leave_encoder, rows_of
 
 LETTERS = re.compile(r"[^\W\d_]+")
 OPENINGS = (4, 5)
@@ -173,6 +173,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_
     """
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leave_encoder()
         for batch in batches:
             found = [sorted(features(t).items()) for t in batch.column("text").to_pylist()]
             codes = [np.array([c for c, _ in x], dtype="<u4").tobytes() for x in found]
@@ -226,6 +227,7 @@ def grade_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leave_encoder()
         telling = Telling(model.weights)
         for batch in batches:
             found = [model.severity(t, telling) for t in batch.column("text").to_pylist()]

@@ -176,3 +176,11 @@ def test_a_small_word_cache_gives_the_same_ids():
     small.runs = shared.RunCache(path, size=3)
     assert [small[w] for w in words] == [large[w] for w in words]
     assert len(small) <= 5 and len(small.older) <= 5
+
+
+def test_caches_that_were_left_are_made_again():
+    path = shared.tokenizer_path(shared.WORD_TOKENIZER)
+    before = shared.ids_of_texts(path, ["plain words", "the naïve ones"])
+    shared.leave_encoder()
+    assert not shared.word_cache.cache_info().currsize and not shared.tokenizer.cache_info().currsize
+    assert shared.ids_of_texts(path, ["plain words", "the naïve ones"]) == before
