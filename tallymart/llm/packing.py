@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import ids_of_texts, rows_of, text_bytes
+from tallymart.llm.shared import ids_of_texts, leave_encoder, rows_of, text_bytes
 
 PIECE_SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -100,6 +100,7 @@ def pack(
             )
 
     def pack_group(table: pa.Table) -> pa.Table:
+        leave_encoder()
         group = table.column("group")[0].as_py()
         table = table.sort_by([("doc_id", "ascending"), ("crc", "ascending"), ("start", "ascending")])
         full = np.array([part >= 0 for part in table.column("part").to_pylist()], dtype=bool)
