@@ -1,8 +1,9 @@
-"""Toxicity grades by cumulative-link ordinal regression on sparse text features.
+"""Toxicity grades by cumulative-link ordinal regression on all hashed text features.
 
 P(grade <= k) is the logistic function of threshold k minus one weighted sum, so all thresholds share the weights. The
-features are selected words and word beginnings: the logarithm of how many distinct words of the text show them. Grades of the labelled rows: 0 not toxic, 1 toxic,
-2 toxic with more selected features than the median toxic row.
+features are words and word beginnings, hashed to a fixed number of slots: the logarithm of how many distinct words of the
+text show them. None is selected: each enters on the scale of what the labelled rows say for it, and the weights are kept
+small. Grades of the labelled rows: 0 not toxic, 1 toxic, 2 toxic with more evidence than the median toxic row.
 """
 
 from __future__ import annotations
@@ -10,7 +11,6 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -19,91 +19,106 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import labelled_sample, leave_encoder, rows_of
+from tallymart.llm.shared import TwoGenerations, labelled_sample, leave_encoder, rows_of
 
 LETTERS = re.compile(r"[^\W\d_]+")
-OPENINGS = (4, 5)
+OPENINGS = (4, 5, 3, 2)
+SLOTS = 1 << 18
 GRADES = 3
 #: The rejecting severity is where toxic rows found, less so many times the clean rows hit, are most (as shares).
 CLEAN_COST = 4
 #: At most this many labelled rows of each class are used to fit.
 ROWS_PER_CLASS = 2500
-#: Selected features: at most so many, each this much (in natural logarithms) beyond what chance explains.
-MOST_FEATURES = 512
-MARGIN = 1.0
+#: The rejecting severity is chosen on rows that the weights were not fitted on, in so many turns: the more, the fewer
+#: the rows, as each turn's model lacks its share of them.
+FOLDS = (3, 8)
+FOLDED_ROWS = 4000
 # Odd multipliers of the minimum hashes.
 ODD = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0xD3A2646D, 0xFD7046C5, 0xB55A4F09)
 
 
 def codes_of(word: str) -> list[int]:
-    """Hashes of a word's features: the word, and its beginnings under a leading circumflex."""
+    """Slots of a word's features: the word, and its beginnings under a leading circumflex."""
     found = [zlib.crc32(word.encode())]
-    return found + [zlib.crc32(b"^" + word[:size].encode()) for size in OPENINGS if len(word) >= size]
+    found += [zlib.crc32(b"^" + word[:size].encode()) for size in OPENINGS if len(word) >= size]
+    return [code % SLOTS for code in found]
 
 
-def features(text: str) -> Counter:
-    """How many distinct words of a text show each feature."""
-    return Counter(c for w in set(LETTERS.findall(text.lower())) for c in codes_of(w))
+class WordCodes(TwoGenerations):
+    """Slots of words as packed 32-bit numbers."""
 
+    def __init__(self, size: int = 50_000):
+        super().__init__(size)
 
-def strength(count):
-    return np.log2(1 + count)
+    def make(self, word: str) -> bytes:
+        return np.array(codes_of(word), dtype="<u4").tobytes()
 
 
-class Telling(dict):
-    """The features with a weight that a word shows; most show none. Forgets everything when full."""
+def features(text: str, cache: WordCodes) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of a text in rising order, and how many features of its distinct words fall into each."""
+    codes = b"".join(map(cache.__getitem__, set(LETTERS.findall(text.lower()))))
+    return np.unique(np.frombuffer(codes, dtype="<u4"), return_counts=True)
 
-    def __init__(self, weights: dict[int, float], size: int = 100_000):
-        super().__init__()
-        self.weights, self.size = weights, size
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= self.size:
-            self.clear()
-        found = self[word] = tuple(c for c in codes_of(word) if c in self.weights)
-        return found
+def strength(count):
+    return np.log2(1 + count)
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Weights by hash of the feature, thresholds in rising order, and the expected severity that rejects."""
+    """Weights by slot, thresholds in rising order, and the expected severity that rejects."""
 
-    weights: dict[int, float]
+    weights: np.ndarray
     thresholds: tuple[float, ...]
     reject_at: float = 0.5
 
-    def severity(self, text: str, telling: Telling) -> float:
+    def severity(self, text: str, cache: WordCodes) -> float:
         """Expected grade: the sum over thresholds of the probability of lying above."""
-        words = set(LETTERS.findall(text.lower()))
-        met = Counter(c for found in filter(None, map(telling.__getitem__, words)) for c in found)
-        return self.expected(math.fsum(self.weights[c] * float(strength(n)) for c, n in met.items()))
+        slots, counts = features(text, cache)
+        return self.expected(float(self.weights[slots] @ strength(counts)))
 
     def expected(self, score: float) -> float:
         return sum(1 / (1 + math.exp(min(60.0, max(-60.0, t - score)))) for t in self.thresholds)
 
 
-NOTHING_TOXIC = ToxicityModel({}, tuple(60.0 + k for k in range(GRADES - 1)))
+NOTHING_TOXIC = ToxicityModel(np.zeros(SLOTS), tuple(60.0 + k for k in range(GRADES - 1)))
+
+
+class Sparse:
+    """Rows of slots and values, multiplied from either side."""
 
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
+        self.n = len(rows)
+        self.row = np.repeat(np.arange(self.n), [len(at) for at, _ in rows])
+        self.at = np.concatenate([at for at, _ in rows]).astype(np.int64)
+        self.value = np.concatenate([value for _, value in rows])
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int = GRADES, steps: int = 1000, decay: float = 1e-4) -> tuple:
+    def by(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=self.value * weights[self.at], minlength=self.n)
+
+    def back(self, share: np.ndarray) -> np.ndarray:
+        return np.bincount(self.at, weights=self.value * share[self.row], minlength=SLOTS)
+
+
+def fit_ordinal(x: Sparse, y: np.ndarray, grades: int = GRADES, steps: int = 100, prior: float = 2.5) -> tuple:
     """Shared weights and rising thresholds by accelerated gradient descent on the mean log likelihood.
 
-    Grades weigh the same. Half the largest eigenvalue of the weighted Gram matrix bounds the curvature, with some room
+    Grades weigh the same; the prior on the weights counts as so many rows' part of the likelihood. Half the largest eigenvalue of the weighted Gram matrix bounds the curvature, with some room
     for the thresholds, and so the step; thresholds are put back in order after each.
     """
-    n, width = x.shape
+    n, width, decay = x.n, SLOTS, prior / max(1, x.n)
     share = 1 / np.maximum(np.bincount(y, minlength=grades), 1)[y]
     share /= share.sum()
     reach, size = np.ones(width), 0.0
-    for _ in range(30):
-        reach = x.T @ (share * (x @ reach))
+    for _ in range(15):
+        reach = x.back(share * x.by(reach))
         size = float(np.linalg.norm(reach))
         reach = reach / max(size, 1e-12)
     rate = 1.0 / (0.55 * size + 2.0)
     beta = np.concatenate([np.zeros(width), 1.0 + np.arange(grades - 1)])
     ahead, edge = beta.copy(), np.zeros((n, 2))
     for step in range(steps):
-        score = x @ ahead[:width]
+        score = x.by(ahead[:width])
         cut = np.concatenate([[-60.0], ahead[width:], [60.0]])
         edge[:, 0], edge[:, 1] = cut[y] - score, cut[y + 1] - score
         p = 1 / (1 + np.exp(-np.clip(edge, -60, 60)))
@@ -113,7 +128,7 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int = GRADES, steps: int =
         slope[y == grades - 1, 1] = 0
         low, high = share * slope[:, 0] / chance, share * slope[:, 1] / chance
         thresholds = [low[y == k + 1].sum() - high[y == k].sum() for k in range(grades - 1)]
-        new = ahead - rate * np.concatenate([x.T @ (high - low) + decay * ahead[:width], thresholds])
+        new = ahead - rate * np.concatenate([x.back(high - low) + decay * ahead[:width], thresholds])
         for k in range(width + 1, len(new)):
             new[k] = max(new[k], new[k - 1] + 0.1)
         ahead = new + step / (step + 3) * (new - beta)
@@ -148,22 +163,50 @@ def distinct_rows(rows: list[np.ndarray]) -> list[int]:
     return kept
 
 
-def select(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """Features that toxic rows hold more often than chance explains, strongest first, ties by hash.
+def evidence(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.ndarray:
+    """What the rows say for each slot: the log likelihood gained by its own share of toxic rows; negative below the mean."""
+    every, ones = np.zeros(SLOTS), np.zeros(SLOTS)
+    for (at, _), t in zip(rows, toxic, strict=True):
+        every[at] += 1
+        ones[at] += t
+    base, share = toxic.mean(), ones / np.maximum(every, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(ones > 0, ones * np.log(share / base), 0.0)
+        gain += np.where(every > ones, (every - ones) * np.log((1 - share) / (1 - base)), 0.0)
+    return np.where(share > base, 1, -1) * np.maximum(gain, 0.0)
+
 
-    The excess is the log likelihood ratio of a feature's rows against the share of toxic rows; it has to exceed
-    the logarithm of the number of features that were looked at.
+def fit_rows(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> ToxicityModel:
+    """The model of rows of slots and values, which hold both classes.
+
+    The root of a slot's evidence is its scale, so little-known features need larger weights, which the decay holds back.
     """
-    every, times = np.unique(np.concatenate(rows), return_counts=True)
-    ones = np.zeros(len(every), dtype=np.int64)
-    held, n = np.unique(np.concatenate([r for r, t in zip(rows, toxic, strict=True) if t]), return_counts=True)
-    ones[np.searchsorted(every, held)] = n
-    base, share = toxic.mean(), ones / times
-    with np.errstate(divide="ignore", invalid="ignore"):
-        rest = np.where(times > ones, (times - ones) * np.log((1 - share) / (1 - base)), 0.0)
-        excess = np.where(share > base, ones * np.log(share / base) + rest, 0.0)
-    found = np.flatnonzero(excess >= np.log(max(2, len(every))) + MARGIN)
-    return every[found[np.argsort(-excess[found], kind="stable")][:MOST_FEATURES]]
+    told = evidence(rows, toxic)
+    for_toxic = np.array([np.maximum(told[at], 0) @ value for at, value in rows])
+    grade = np.where(toxic == 0, 0, np.where(for_toxic > np.median(for_toxic[toxic == 1]), 2, 1))
+    scale = np.sqrt(np.abs(told))
+    scale /= max(float(scale.max()), 1e-12)
+    x = Sparse([(at, value * scale[at]) for at, value in rows])
+    weights, thresholds = fit_ordinal(x, grade)
+    return ToxicityModel(weights * scale, thresholds)
+
+
+def severities(model: ToxicityModel, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    return np.array([model.expected(float(model.weights[at] @ value)) for at, value in rows])
+
+
+def fit_cut(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, whole: ToxicityModel) -> float:
+    """The rejecting severity, from rows judged by a model of the others; of all rows, where a class has one row."""
+    folds = min(max(FOLDS[0], FOLDED_ROWS // len(rows)), FOLDS[1], int((toxic == 1).sum()), int((toxic == 0).sum()))
+    if folds < 2:
+        return cut_at(severities(whole, rows), toxic)
+    # Dealt out within each class, so every turn has both.
+    fold = np.where(toxic == 1, np.cumsum(toxic == 1), np.cumsum(toxic == 0)) % folds
+    judged = np.zeros(len(rows))
+    for k in range(folds):
+        own = fit_rows([r for r, f in zip(rows, fold, strict=True) if f != k], toxic[fold != k])
+        judged[fold == k] = severities(own, [r for r, f in zip(rows, fold, strict=True) if f == k])
+    return cut_at(judged, toxic)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> ToxicityModel:
@@ -174,10 +217,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leave_encoder()
+        cache = WordCodes()
         for batch in batches:
-            found = [sorted(features(t).items()) for t in batch.column("text").to_pylist()]
-            codes = [np.array([c for c, _ in x], dtype="<u4").tobytes() for x in found]
-            counts = [np.array([n for _, n in x], dtype="<u4").tobytes() for x in found]
+            found = [features(t, cache) for t in batch.column("text").to_pylist()]
+            codes = [c.astype("<u4").tobytes() for c, _ in found]
+            counts = [n.astype("<u4").tobytes() for _, n in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), pa.array(codes, pa.binary()), pa.array(counts, pa.binary())],
                 names=["label", "codes", "counts"],
@@ -185,28 +229,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_
 
     sample = labelled_sample(docs, labels, "toxic", rows_per_class)
     found = sample.mapInArrow(sparse, "label int, codes binary, counts binary")
-    found = found.groupBy("codes", "counts").agg(F.max("label").alias("label")).toArrow().sort_by("codes")
+    found = found.groupBy("codes", "counts").agg(F.max("label").alias("label")).toArrow()
+    found = found.sort_by([("codes", "ascending"), ("counts", "ascending")])
     toxic = found.column("label").to_numpy().astype(np.int64)
     codes = [np.frombuffer(x, dtype="<u4") for x in found.column("codes").to_pylist()]
     counts = [np.frombuffer(x, dtype="<u4") for x in found.column("counts").to_pylist()]
     if len(set(toxic.tolist())) < 2:
         return NOTHING_TOXIC
     own = distinct_rows(codes)
-    codes, counts, toxic = [codes[k] for k in own], [counts[k] for k in own], toxic[own]
-    if len(set(toxic.tolist())) < 2 or not len(chosen := select(codes, toxic)):
-        return NOTHING_TOXIC
-    order = np.argsort(chosen)
-    x = np.zeros((len(codes), len(chosen)))
-    for k, (held, n) in enumerate(zip(codes, counts, strict=True)):
-        at = np.searchsorted(chosen, held, sorter=order)
-        at = order[np.minimum(at, len(order) - 1)]
-        met = chosen[at] == held
-        x[k, at[met]] = strength(n[met].astype(float))
-    hits = x.sum(axis=1)
-    grade = np.where(toxic == 0, 0, np.where(hits > np.median(hits[toxic == 1]), 2, 1))
-    weights, thresholds = fit_ordinal(x, grade)
-    model = ToxicityModel({int(c): float(w) for c, w in zip(chosen, weights, strict=True)}, thresholds)
-    return replace(model, reject_at=cut_at(np.array([model.expected(v) for v in x @ weights]), toxic))
+    if len(set(toxic[own].tolist())) < 2:
+        own = list(range(len(codes)))
+    rows, toxic = [(codes[k], strength(counts[k].astype(float))) for k in own], toxic[own]
+    model = fit_rows(rows, toxic)
+    return replace(model, reject_at=fit_cut(rows, toxic, model))
 
 
 def cut_at(severity: np.ndarray, toxic: np.ndarray) -> float:
@@ -228,9 +263,9 @@ def grade_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leave_encoder()
-        telling = Telling(model.weights)
+        cache = WordCodes()
         for batch in batches:
-            found = [model.severity(t, telling) for t in batch.column("text").to_pylist()]
+            found = [model.severity(t, cache) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found, pa.float64())], names=["doc_id", "severity"]
             )

@@ -117,6 +117,26 @@ def test_toxicity(spark, sf_dir):
     assert rising == sorted(rising) and 0 <= rising[0] and rising[-1] <= 2
 
 
+def test_few_labelled_rows_reject_too(spark, sf_dir):
+    # Eleven toxic rows of 87, too few for any one feature to be beyond chance.
+    few = [spark.read.parquet(f"{sf_dir}/../sf0.001/{t}.parquet") for t in ("documents", "labels")]
+    model = toxicity.fit_toxicity(*few)
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    labels = labels.join(few[1].select("doc_id"), "doc_id", "left_anti")
+    held = toxicity.grade_toxicity(docs.where("lang = 'en'"), model).join(labels, "doc_id").collect()
+    assert sum(r.rejected for r in held if r.toxic) >= 0.5 * sum(r.toxic for r in held)
+    assert sum(r.rejected for r in held if not r.toxic) <= 0.03 * len(held)
+
+
+def test_rare_languages_are_rejected_too(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    fitted, held = split_labels(labels)
+    model = toxicity.fit_toxicity(docs, fitted)
+    judged = toxicity.grade_toxicity(docs.where("lang <> 'en'"), model).join(held, "doc_id").collect()
+    assert any(r.rejected for r in judged if r.toxic)
+    assert sum(r.rejected for r in judged if not r.toxic) <= 0.03 * len(judged)
+
+
 def test_toxicity_on_the_tables(spark, sf_dir, odd_docs, repeated):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit_toxicity(docs, labels)
