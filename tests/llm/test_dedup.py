@@ -96,6 +96,16 @@ def test_near_copies_that_are_linked_through_others(spark, block_rows):
     assert_components(docs, texts, 3, 85, block_rows=block_rows)
 
 
+def test_members_are_copied_once_for_a_block_of_outliers(spark):
+    table = spark.range(2000).selectExpr("-1L AS centre", "id AS member", "9L AS size", "id > 2 AS linked", "X'' AS difference")
+    blocks = near_dedup._blocks(table, 10)
+    assert blocks.where("NOT asks").count() == 2000 and blocks.where("asks").count() == 3 * 200
+    every = near_dedup._blocks(table.withColumn("linked", table.member % 20 > 0), 10)
+    asks = every.where("asks").selectExpr("i", "j", "member AS asker")
+    met = every.where("NOT asks").join(asks, ["i", "j"]).groupBy("asker", "member").count().collect()
+    assert len(met) == 100 * 2000 and {r["count"] for r in met} == {1}
+
+
 def test_near_dedup_of_nothing_and_of_repeated_rows(odd_docs, repeated):
     assert near_dedup.near_dedup(odd_docs.limit(0)).count() == 0
     found = near_dedup.near_dedup(repeated).collect()
