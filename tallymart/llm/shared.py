@@ -253,7 +253,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     """doc_id, text and label of at most ``per_class`` labelled documents of each class (0 and 1).
 
     The rows with the smallest hash of their id are taken, so the choice does not change between runs; the chosen ids,
-    at most ``2 * per_class``, are what is broadcast.
+    at most ``2 * per_class``, are what is broadcast. An id with several rows gives the least of its texts.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -261,4 +261,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         for value in (0, 1)
     ]
-    return rows_of(docs).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    rows = rows_of(docs).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from tallymart.llm import licenses, quality, toxicity
+from tallymart.llm import licenses, quality, shared, toxicity
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -100,6 +100,13 @@ def test_quality_without_labels_keeps_what_the_rule_keeps(spark, sf_dir, repeate
     assert quality.judge_quality(repeated, quality.fit_quality(docs, labels)).count() == 4
 
 
+def test_a_labelled_id_gives_one_row(spark):
+    docs = spark.range(300).selectExpr("id % 3 AS doc_id", "concat('text ', 1000 + id) AS text")
+    labels = spark.createDataFrame([(0, 0), (1, 1), (2, None)], "doc_id long, quality int")
+    found = shared.labelled_sample(docs, labels, "quality", 5).collect()
+    assert sorted((r.doc_id, r.label, r.text) for r in found) == [(0, 0, "text 1000"), (1, 1, "text 1001")]
+
+
 def test_toxicity(spark, sf_dir):
     words = ["fool", "jerk", "dolt"]
     name = lambda n: "".join(chr(97 + int(d)) for d in str(n))
