@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,7 +72,8 @@ def pack(
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_length.
 
     A document is its ids and ``end_id``. Its full stretches of ``width`` ids are sequences of their own at once; the
-    rest joins one of the groups, about ``group_bytes`` of text each, drawn from a hash of id and content. Groups are
+    rest joins one of the groups, about ``group_bytes`` of text each, drawn from a hash of id, content and, so that
+    equal rows spread too, how many equal ones their task has read before. Groups are
     packed independently, each in one task; their number follows the data. Ids travel once, as 16-bit numbers.
 
     Null or empty texts are the end id alone; repeated rows are packed each for itself; ties in length go by doc_id
@@ -81,19 +83,22 @@ def pack(
     groups = max(1, -(-text_bytes(rows) // group_bytes))
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "start", "part", "length", "crc", "doc_tokens", "ids"]
-        kinds = [pa.int64()] * 6 + [pa.binary()]
+        names = ["doc_id", "start", "part", "length", "crc", "doc_tokens", "ids", "before"]
+        kinds = [pa.int64()] * 6 + [pa.binary(), pa.int64()]
+        met: Counter = Counter()
         for batch in batches:
             out: list[tuple] = []
             coded = ids_of_texts(path, batch.column("text").to_pylist())
             for doc, own in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
                 ids = np.append(np.frombuffer(own, dtype="<u2"), np.uint16(end_id))
                 full = len(ids) - len(ids) % width
+                key = hash((doc, len(ids), crc32_of(ids)))
+                before, met[key] = met[key], met[key] + 1
                 for at in range(0, full, width):
-                    out.append((doc, at, at // width, width, crc32_of(ids[at : at + width]), len(ids), None))
+                    out.append((doc, at, at // width, width, crc32_of(ids[at : at + width]), len(ids), None, before))
                 if full < len(ids):
                     rest = ids[full:].astype("<u2")
-                    out.append((doc, full, -1, len(rest), crc32_of(rest), len(ids), rest.tobytes()))
+                    out.append((doc, full, -1, len(rest), crc32_of(rest), len(ids), rest.tobytes(), before))
             columns = list(zip(*out, strict=True)) if out else [()] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
@@ -127,7 +132,7 @@ def pack(
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns, strict=True)})
 
     items = rows.mapInArrow(
-        tokenise, "doc_id long, start long, part long, length long, crc long, doc_tokens long, ids binary"
+        tokenise, "doc_id long, start long, part long, length long, crc long, doc_tokens long, ids binary, before long"
     )
-    spread = F.pmod(F.xxhash64("doc_id", "start", "crc"), F.lit(groups))
-    return items.withColumn("group", spread).groupBy("group").applyInArrow(pack_group, PIECE_SCHEMA)
+    spread = F.pmod(F.xxhash64("doc_id", "start", "crc", "before"), F.lit(groups))
+    return items.withColumn("group", spread).drop("before").groupBy("group").applyInArrow(pack_group, PIECE_SCHEMA)

@@ -67,6 +67,12 @@ def test_packing_is_a_partition_without_padding(odd_docs, texts, group_bytes):
         assert at == own[0].sequence_length and (at == 4096 or at & (at - 1) == 0)
 
 
+def test_equal_rows_are_packed_in_many_groups(spark):
+    docs = spark.range(400).selectExpr("7L AS doc_id", "repeat('equal words ', 20) AS text")
+    groups = [p.sequence_id >> 32 for p in packing.pack(docs, WORDS, group_bytes=4800).collect() if p.start == 0]
+    assert len(groups) == 400 and max(map(groups.count, groups)) < 100
+
+
 def test_packing_prefers_the_cheapest_sequence():
     placed = packing.assign(np.array([60, 50, 40, 30, 20]), 100, 1.0, 0.01)
     assert sum(n for _, _, n, _ in placed) == 200
