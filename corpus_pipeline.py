@@ -23,10 +23,13 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """Rows whose doc_id is not among the dropped; only rows that may be dropped are shuffled to make sure."""
     dropped = stored(dropped.select("doc_id").where("doc_id IS NOT NULL").distinct(), "dropped")
     names = docs.columns
-    marked = docs.withColumn("dropped_hash", F.xxhash64(F.col("doc_id").cast("long")))
+    mark = "dropped_hash"
+    while mark.lower() in {name.lower() for name in names}:
+        mark += "_"
+    marked = docs.withColumn(mark, F.xxhash64(F.col("doc_id").cast("long")))
     known = IdFilter(dropped.select(F.xxhash64("doc_id").alias("h")), "h")
-    unsure = known.passing(marked, "dropped_hash").join(dropped, "doc_id", "left_anti")
-    return unsure.select(names).unionByName(known.passing(marked, "dropped_hash", member=False).select(names))
+    unsure = known.passing(marked, mark).join(dropped, "doc_id", "left_anti")
+    return unsure.select(names).unionByName(known.passing(marked, mark, member=False).select(names))
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,6 +53,12 @@ def test_pipeline_takes_out_what_was_planted(spark, sf_dir, tmp_path):
     assert near == cut == packed and None in packed
 
 
+def test_columns_pass_through_with_their_values(spark):
+    docs = spark.createDataFrame([(1, "a", 7), (2, "b", 8), (None, "c", 9)], "doc_id long, text string, dropped_hash int")
+    left = corpus_pipeline.without(docs, docs.where("doc_id = 2"))
+    assert sorted(r.dropped_hash for r in left.collect()) == [7, 9]
+
+
 def test_pipeline_of_nothing(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
