@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymart.llm import (
+    conversations,
     distinct_words,
     exact_dedup,
     huffman_files,
@@ -17,6 +18,8 @@ from tallymart.llm import (
     suffix_dedup,
     token_counts,
     toxicity,
+    warc,
+    whitening,
 )
 from tallymart.llm.shared import BYTE_TOKENIZER, WORD_TOKENIZER, load, tokenizer_path
 
@@ -63,6 +66,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.grade_toxicity(docs, toxicity.fit_toxicity(docs, load(spark, sf_dir, "labels")))
 
 
+def op11_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_digests(load(spark, sf_dir, "pages"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(load(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = load(spark, sf_dir, "conversations")
+    return conversations.repair_digests(conversations.damaged(table), table)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_quality,
         op10_toxicity,
+        op11_warc_revisits,
+        op12_whitening,
+        op13_conversation_repair,
     )
 }
 
@@ -86,4 +105,19 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_warc_revisits": """
+        WITH hashed AS (
+            SELECT page_id, sha1(coalesce(html, '')) AS digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes
+            FROM pages
+        ), resolved AS (
+            SELECT page_id, payload_bytes, digest, min(page_id) OVER (PARTITION BY digest) AS first_id FROM hashed
+        )
+        SELECT page_id, payload_bytes,
+               list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
+                   (CAST('0x' || substr(digest, CAST(1 + 10 * (i // 8) AS BIGINT), 10) AS BIGINT)
+                    >> CAST(35 - 5 * (i % 8) AS BIGINT)) & 31) AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM resolved
+    """,
 }

@@ -1,0 +1,188 @@
+"""Conversation repair against plain versions."""
+
+import hashlib
+import itertools
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallymart.llm import conversations
+from tallymart.llm.conversations import SYMBOLS, Grammar, damaged, learned_rules, repair_digests, repaired_rows
+
+WHITE = " \t\n\x0b\x0c\r"
+LEGAL = re.compile(r"(s?(ua)+)?")
+
+
+def damage(rows):
+    """What the damage does to (conv_id, turn, role, text), row by row."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        name = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(name.encode()) % 20
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def faults_of(rows):
+    seen, out = set(), []
+    for _, _, role, text in rows:
+        left = text.rstrip(WHITE)
+        first = "blank" if not left else "duplicate" if (role, text) in seen else "truncated" if left[-1] not in ".!?" else "sound"
+        seen.add((role, text))
+        out.append(first)
+    return out
+
+
+def cheapest(rows, faults):
+    """Least (cost, audit) and the roles it leaves, by the shortest path through (rows read, state) with whole audits."""
+    best = {(0, ""): (0, "", ())}
+    steps = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    for k in range(len(rows) + 1):
+        # Two insertions in a row are the most that a cheapest audit can need.
+        for _ in range(2):
+            for (at, state), (cost, audit, kept) in list(best.items()):
+                for role in "ua":
+                    if at == k and (to := steps.get((state, role))) is not None:
+                        found = (cost + 2, audit + "I", (*kept, (role, None)))
+                        best[k, to] = min(best.get((k, to), found), found, key=lambda x: x[:2])
+        if k == len(rows):
+            break
+        _, _, role, text = rows[k]
+        late = faults[k] == "truncated"
+        for (at, state), (cost, audit, kept) in list(best.items()):
+            if at != k:
+                continue
+            moves = [("D", 3, state, None)]
+            if faults[k] in ("sound", "truncated"):
+                moves += [("K", late, steps.get((state, role[:1])), (role, text))]
+                moves += [("R", 2 + late, steps.get((state, to)), (to, text)) for to in "ua"]
+            for edit, price, to, line in moves:
+                if to is not None:
+                    found = (cost + price, audit + edit, (*kept, line) if line else kept)
+                    best[k + 1, to] = min(best.get((k + 1, to), found), found, key=lambda x: x[:2])
+    return min((best[len(rows), s] for s in ("", "a") if (len(rows), s) in best), key=lambda x: x[:2])
+
+
+def plain(rows, every):
+    out = {}
+    for conv in every:
+        own = [r for r in rows if r[0] == conv]
+        own.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2], hashlib.sha256(r[3].encode()).digest()))
+        faults = faults_of(own)
+        cost, audit, kept = cheapest(own, faults)
+        turns = {r[1] for r in own if r[1] is not None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        names = {"u": "user", "a": "assistant"}
+        lines = [f"{names.get(role, role)}:{text or ''}" for role, text in kept]
+        illegal = sum(x[2][:1] + y[2][:1] not in ("su", "ua", "au") for x, y in itertools.pairwise(own))
+        counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+        sha = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+        out[conv] = (gaps, *counts, illegal, cost, audit, sha)
+    return out
+
+
+def digests(frame):
+    rows = frame.collect()
+    assert len({r.conv_id for r in rows}) == len(rows)
+    return {r.conv_id: tuple(r)[1:] for r in rows}
+
+
+def enumerated(symbols):
+    """Least cost and audit of a few symbols, from all ways to edit them."""
+    back = {s: key for key, s in SYMBOLS.items()}
+    ways = []
+    for symbol in symbols:
+        role, fault = back[symbol]
+        late = fault == "truncated"
+        ways.append([("D", 3, "")])
+        if fault in ("sound", "truncated"):
+            ways[-1] += [("K", late, role), ("R", 2 + late, "u"), ("R", 2 + late, "a")]
+    added = [("", 0, ""), *(("I", 2, r) for r in "ua"), *(("II", 4, r) for r in ("ua", "au"))]
+    found = []
+    for choice in itertools.product(*(c for way in ways for c in (added, way)), added):
+        if LEGAL.fullmatch("".join(c[2] for c in choice)):
+            found.append((sum(c[1] for c in choice), "".join(c[0] for c in choice)))
+    return min(found)
+
+
+def test_every_short_sequence_is_solved_as_by_enumeration():
+    symbols = [s for (_, fault), s in SYMBOLS.items() if fault != "duplicate"]
+    grammars = [Grammar(()), Grammar(("EE", "EI", chr(0x101) * 2, "IE", "AE"))]
+    for size in (0, 1, 2):
+        for some in itertools.product(symbols, repeat=size):
+            want = enumerated(some)
+            assert all(g.solved("".join(some))[:2] == want for g in grammars)
+    some = itertools.islice(itertools.product(symbols, repeat=3), 0, None, 23)
+    for three in some:
+        assert all(g.solved("".join(three))[:2] == enumerated(three) for g in grammars)
+
+
+@pytest.fixture(scope="module")
+def odd_rows():
+    long = [(7, k, "user" if k % 2 else "assistant", f"line {k % 50}.") for k in range(400)]
+    rows = [(1, 0, "system", "Be kind."), (1, 1, "user", "Hello"), (1, 2, "user", "Hello."), (1, 5, "assistant", "Yes!")]
+    rows += [(2, None, "user", "a."), (2, 3, None, "b."), (2, 3, "user", None), (2, 4, "", "x."), (2, 9, "tool", "y.")]
+    rows += [(None, 1, "user", "no id."), (None, 2, "assistant", " \t"), (3, None, "user", "only."), (3, None, "user", "only.")]
+    rows += [(5, 7, "user", "same."), (5, 7, "user", "same."), (5, 8, "assistant", "é中." * 4000), (5, 9, "user", "same.")]
+    rows += [(6, 0, "assistant", "ends　"), (6, 1, "assistant", "said? \n")]
+    return rows + long
+
+
+def frame(spark, rows):
+    made = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return made.selectExpr("*", "'k' AS kind", "1 AS n", "2 AS symbols", "3 AS digest")
+
+
+def test_odd_conversations(spark, odd_rows, monkeypatch):
+    every = {r[0] for r in odd_rows}
+    assert digests(repair_digests(frame(spark, odd_rows))) == plain([tuple(" " if v is None and k > 1 else v for k, v in enumerate(r)) for r in odd_rows], every)
+    monkeypatch.setattr(conversations, "SEGMENT", 7)
+    broken = damaged(frame(spark, odd_rows))
+    got = digests(repair_digests(broken, frame(spark, odd_rows)))
+    assert got == plain(damage(odd_rows), every)
+    assert broken.columns == ["conv_id", "turn", "role", "text"]
+
+
+def test_whole_table(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    rows = [tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()]
+    from tallymart.llm.queries import QUERIES
+
+    got = digests(QUERIES["op13_conversation_repair"](spark, sf_dir))
+    assert got == plain(damage(rows), {r[0] for r in rows})
+
+
+def test_rows_of_repaired_conversations(spark, odd_rows):
+    rows = repaired_rows(frame(spark, odd_rows)).collect()
+    hashes = digests(repair_digests(frame(spark, odd_rows)))
+    for conv in {r[0] for r in odd_rows}:
+        own = sorted((r.turn, r.role, r.text, r.edit) for r in rows if r.conv_id == conv)
+        lines = "\n".join(f"{role}:{text}" for _, role, text, _ in own)
+        assert hashlib.sha256(lines.encode()).hexdigest() == hashes[conv][-1]
+        assert LEGAL.fullmatch("".join(role[0] for _, role, _, _ in own))
+        assert "".join(edit for *_, edit in own) == hashes[conv][-2].replace("D", "")
+
+
+def test_conversations_without_rows(spark, odd_rows):
+    none = frame(spark, odd_rows).where("conv_id < 0")
+    assert repair_digests(none).count() == 0 and repaired_rows(none).count() == 0
+    every = spark.createDataFrame([(4,), (4,), (None,)], "conv_id long")
+    empty = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert digests(repair_digests(none, every)) == {4: empty, None: empty}
+
+
+def test_rules_are_pairs_in_falling_frequency(spark):
+    ua = SYMBOLS["u", "sound"] + SYMBOLS["a", "sound"]
+    sequences = spark.createDataFrame([(ua * 40, 3), (ua, 100), (SYMBOLS["x", "blank"], 1)], "symbols string, n long")
+    rules = learned_rules(sequences)
+    assert rules[0] == ua and rules[1] == chr(0x100) * 2
+    grammar = Grammar(rules)
+    assert len(grammar.compressed(ua * 40)) == 1
+    assert grammar.solved(ua * 40) == (0, "K" * 80, 0)
+    assert learned_rules(sequences.where(F.col("n") > 200)) == ()
