@@ -2,8 +2,10 @@
 
 P(grade <= k) is the logistic function of threshold k minus one weighted sum, so all thresholds share the weights. The
 features are words and word beginnings, hashed to a fixed number of slots: the logarithm of how many distinct words of the
-text show them. None is selected: each enters on the scale of what the labelled rows say for it, and the weights are kept
-small. Grades of the labelled rows: 0 not toxic, 1 toxic, 2 toxic with more evidence than the median toxic row.
+text show them. Each enters on the scale of what the labelled rows say for it beyond chance, and the weights are kept
+small. The two classes weigh what they are among all labels, however many rows of each were drawn: so a text that shows
+nothing known has the severity of the base rate at most, and evidence must raise it to the rejecting one. Grades of the
+labelled rows: 0 not toxic, 1 toxic, 2 toxic with more evidence than the median toxic row.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +27,12 @@ LETTERS = re.compile(r"[^\W\d_]+")
 OPENINGS = (4, 5, 3, 2)
 SLOTS = 1 << 18
 GRADES = 3
-#: The rejecting severity is where toxic rows found, less so many times the clean rows hit, are most (as shares).
-CLEAN_COST = 4
+#: Log likelihood that a slot gains by chance: what the labelled rows say for it counts from there on.
+CHANCE = 2.0
+#: A document is rejected from this expected severity on, and only this far above that of a text without evidence.
+REJECT_AT, MARGIN = 0.25, 0.15
 #: At most this many labelled rows of each class are used to fit.
 ROWS_PER_CLASS = 2500
-#: The rejecting severity is chosen on rows that the weights were not fitted on, in so many turns: the more, the fewer
-#: the rows, as each turn's model lacks its share of them.
-FOLDS = (3, 8)
-FOLDED_ROWS = 4000
 # Odd multipliers of the minimum hashes.
 ODD = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0xD3A2646D, 0xFD7046C5, 0xB55A4F09)
 
@@ -70,7 +70,7 @@ class ToxicityModel:
 
     weights: np.ndarray
     thresholds: tuple[float, ...]
-    reject_at: float = 0.5
+    reject_at: float = REJECT_AT
 
     def severity(self, text: str, cache: WordCodes) -> float:
         """Expected grade: the sum over thresholds of the probability of lying above."""
@@ -100,22 +100,25 @@ class Sparse:
         return np.bincount(self.at, weights=self.value * share[self.row], minlength=SLOTS)
 
 
-def fit_ordinal(x: Sparse, y: np.ndarray, grades: int = GRADES, steps: int = 100, prior: float = 2.5) -> tuple:
+def fit_ordinal(
+    x: Sparse, y: np.ndarray, share: np.ndarray, grades: int = GRADES, steps: int = 200, prior: float = 0.15
+) -> tuple:
     """Shared weights and rising thresholds by accelerated gradient descent on the mean log likelihood.
 
-    Grades weigh the same; the prior on the weights counts as so many rows' part of the likelihood. Half the largest eigenvalue of the weighted Gram matrix bounds the curvature, with some room
-    for the thresholds, and so the step; thresholds are put back in order after each.
+    ``share`` is the part of each row in that mean; the prior on the weights counts as so many rows' part. Thresholds
+    begin where they would end without features. Half the largest eigenvalue of the weighted Gram matrix bounds the
+    curvature, with some room for the thresholds, and so the step; thresholds are put back in order after each.
     """
     n, width, decay = x.n, SLOTS, prior / max(1, x.n)
-    share = 1 / np.maximum(np.bincount(y, minlength=grades), 1)[y]
-    share /= share.sum()
     reach, size = np.ones(width), 0.0
     for _ in range(15):
         reach = x.back(share * x.by(reach))
         size = float(np.linalg.norm(reach))
         reach = reach / max(size, 1e-12)
     rate = 1.0 / (0.55 * size + 2.0)
-    beta = np.concatenate([np.zeros(width), 1.0 + np.arange(grades - 1)])
+    below = np.clip(np.cumsum(np.bincount(y, weights=share, minlength=grades))[:-1], 1e-6, 1 - 1e-6)
+    start = np.log(below / (1 - below)) + 0.1 * np.arange(grades - 1)
+    beta = np.concatenate([np.zeros(width), start])
     ahead, edge = beta.copy(), np.zeros((n, 2))
     for step in range(steps):
         score = x.by(ahead[:width])
@@ -164,7 +167,8 @@ def distinct_rows(rows: list[np.ndarray]) -> list[int]:
 
 
 def evidence(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.ndarray:
-    """What the rows say for each slot: the log likelihood gained by its own share of toxic rows; negative below the mean."""
+    """What the rows say for each slot: the log likelihood gained by its own share of toxic rows, less what chance gives;
+    negative below the mean."""
     every, ones = np.zeros(SLOTS), np.zeros(SLOTS)
     for (at, _), t in zip(rows, toxic, strict=True):
         every[at] += 1
@@ -173,11 +177,11 @@ def evidence(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = np.where(ones > 0, ones * np.log(share / base), 0.0)
         gain += np.where(every > ones, (every - ones) * np.log((1 - share) / (1 - base)), 0.0)
-    return np.where(share > base, 1, -1) * np.maximum(gain, 0.0)
+    return np.where(share > base, 1, -1) * np.maximum(gain - CHANCE, 0.0)
 
 
-def fit_rows(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> ToxicityModel:
-    """The model of rows of slots and values, which hold both classes.
+def fit_rows(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, base: float) -> ToxicityModel:
+    """The model of rows of slots and values, which hold both classes; ``base`` is the share of toxic ones among labels.
 
     The root of a slot's evidence is its scale, so little-known features need larger weights, which the decay holds back.
     """
@@ -187,32 +191,17 @@ def fit_rows(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> To
     scale = np.sqrt(np.abs(told))
     scale /= max(float(scale.max()), 1e-12)
     x = Sparse([(at, value * scale[at]) for at, value in rows])
-    weights, thresholds = fit_ordinal(x, grade)
-    return ToxicityModel(weights * scale, thresholds)
-
-
-def severities(model: ToxicityModel, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    return np.array([model.expected(float(model.weights[at] @ value)) for at, value in rows])
-
-
-def fit_cut(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, whole: ToxicityModel) -> float:
-    """The rejecting severity, from rows judged by a model of the others; of all rows, where a class has one row."""
-    folds = min(max(FOLDS[0], FOLDED_ROWS // len(rows)), FOLDS[1], int((toxic == 1).sum()), int((toxic == 0).sum()))
-    if folds < 2:
-        return cut_at(severities(whole, rows), toxic)
-    # Dealt out within each class, so every turn has both.
-    fold = np.where(toxic == 1, np.cumsum(toxic == 1), np.cumsum(toxic == 0)) % folds
-    judged = np.zeros(len(rows))
-    for k in range(folds):
-        own = fit_rows([r for r, f in zip(rows, fold, strict=True) if f != k], toxic[fold != k])
-        judged[fold == k] = severities(own, [r for r, f in zip(rows, fold, strict=True) if f == k])
-    return cut_at(judged, toxic)
+    share = np.where(toxic == 1, base / (toxic == 1).sum(), (1 - base) / (toxic == 0).sum())
+    weights, thresholds = fit_ordinal(x, grade, share)
+    model = ToxicityModel(weights * scale, thresholds)
+    return ToxicityModel(model.weights, thresholds, max(REJECT_AT, model.expected(0.0) + MARGIN))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> ToxicityModel:
     """Fit on at most ``rows_per_class`` labelled rows a class; copies of a text count once.
 
-    Only those rows' feature sets reach the driver. Without rows of both classes no document is toxic.
+    Only those rows' feature sets reach the driver, and how many ids each class has among all labels. Without rows of
+    both classes no document is toxic.
     """
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,24 +229,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_
     if len(set(toxic[own].tolist())) < 2:
         own = list(range(len(codes)))
     rows, toxic = [(codes[k], strength(counts[k].astype(float))) for k in own], toxic[own]
-    model = fit_rows(rows, toxic)
-    return replace(model, reject_at=fit_cut(rows, toxic, model))
-
-
-def cut_at(severity: np.ndarray, toxic: np.ndarray) -> float:
-    """The best cut, half-way to the next lower severity that occurs."""
-    levels = np.unique(severity)
-    above = [
-        (severity[toxic == 1] >= v).mean() - CLEAN_COST * (severity[toxic == 0] >= v).mean() for v in levels
-    ]
-    best = int(np.argmax(above))
-    return float((levels[best] + levels[best - 1]) / 2) if best else float(levels[0])
+    every = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    known = every.where("toxic IN (0, 1)").agg(F.avg("toxic").alias("base")).first()
+    return fit_rows(rows, toxic, known.base)
 
 
 def grade_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, severity (expected grade), grade (the nearest), rejected.
 
-    Null and empty texts hold no feature and are graded by the thresholds alone; repeated rows are graded alike; null
+    Null and empty texts hold no feature, are graded by the thresholds alone and are never rejected; repeated rows are graded alike; null
     ids stay; other columns are left behind; an empty table gives an empty one.
     """
 

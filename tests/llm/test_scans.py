@@ -3,6 +3,7 @@
 import collections
 import re
 
+import numpy as np
 import pytest
 
 from tallymart.llm import licenses, quality, shared, toxicity
@@ -155,6 +156,70 @@ def test_toxicity_on_the_tables(spark, sf_dir, odd_docs, repeated):
     assert toxicity.grade_toxicity(docs.limit(0), model).count() == 0
 
 
+HARMLESS = [
+    "Shall I compare thee to a summer's day? Thou art more lovely and more temperate: Rough winds do shake the darling "
+    "buds of May, And summer's lease hath all too short a date.",
+    "You are wonderful, thank you very much for your kind help yesterday!",
+    "Mitochondria generate most of the chemical energy needed to power the cell's biochemical reactions.",
+    "The committee meets on Thursday at noon. Please bring the signed forms, two copies each, and your badge.",
+    "Wer reitet so spät durch Nacht und Wind? Es ist der Vater mit seinem Kind; er hat den Knaben wohl in dem Arm.",
+    "Vielen Dank für Ihre freundliche Hilfe, wir sehen uns nächste Woche im Rathaus. Die Sitzung beginnt um neun Uhr.",
+    "Sachliche Hinweise zur Steuererklärung: Belege bitte nachreichen, die Frist endet am ersten Oktober.",
+    "Longtemps, je me suis couché de bonne heure. Parfois, à peine ma bougie éteinte, mes yeux se fermaient si vite.",
+    "Merci beaucoup pour votre aide, nous sommes très heureux de vous accueillir demain matin.",
+    "La réunion aura lieu mardi prochain; merci de confirmer votre présence auprès du secrétariat.",
+    "En un lugar de la Mancha, de cuyo nombre no quiero acordarme, no ha mucho tiempo que vivía un hidalgo.",
+    "Muchas gracias por su amable ayuda, nos vemos mañana en la estación central.",
+    "La receta lleva arroz, azafrán, pimiento y caldo; se cocina a fuego lento durante veinte minutos.",
+    "",
+    None,
+    " ".join(f"planted{k} word" for k in range(40)),
+]
+
+
+@pytest.mark.parametrize("folder", [".", "../sf0.001"])
+def test_harmless_prose_is_kept(spark, sf_dir, folder):
+    model = toxicity.fit_toxicity(*(spark.read.parquet(f"{sf_dir}/{folder}/{t}.parquet") for t in ("documents", "labels")))
+    docs = spark.createDataFrame(list(enumerate(HARMLESS)), "doc_id long, text string")
+    graded = toxicity.grade_toxicity(docs, model).collect()
+    assert [r for r in graded if r.rejected] == []
+    assert model.expected(0.0) + toxicity.MARGIN <= model.reject_at
+
+
+def test_weights_follow_the_labels_not_the_sample(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit_toxicity(docs, labels, rows_per_class=40)  # as many toxic as clean rows are drawn
+    assert model.expected(0.0) < 0.2  # of 80 rows, half toxic
+    judged = toxicity.grade_toxicity(docs, model).join(labels, "doc_id").collect()
+    assert sum(r.rejected for r in judged if not r.toxic) <= 0.05 * len(judged)
+    assert sum(r.rejected for r in judged if r.toxic) >= 0.5 * sum(r.toxic for r in judged)
+
+
+def test_ordinal_fit_is_the_cumulative_link_models():
+    random = np.random.default_rng(8)
+    dense = random.random((200, 3)) * [1.0, 2.0, 0.5]
+    y = np.digitize(dense @ [2.0, 0.0, -1.0] + random.logistic(size=200), [1.0, 2.0])
+    share = random.random(200) + 0.5
+    share /= share.sum()
+    x = toxicity.Sparse([(np.arange(3), row) for row in dense])
+    weights, thresholds = toxicity.fit_ordinal(x, y, share, steps=3000, prior=1.0)
+
+    def loss(w, t):
+        """Minus the mean log likelihood, with the prior, by definition: P(y <= k) is logistic in t[k] - w.x."""
+        below = 1 / (1 + np.exp(-(np.array([-np.inf, *t, np.inf])[None, :] - (dense @ w)[:, None])))
+        chance = below[np.arange(200), y + 1] - below[np.arange(200), y]
+        return -(share * np.log(chance)).sum() + (w @ w) / 2 / 200
+
+    assert not weights[3:].any()
+    best = loss(weights[:3], thresholds)
+    for step in (*np.eye(5), *-np.eye(5), *random.standard_normal((20, 5))):
+        assert loss(weights[:3] + 0.01 * step[:3], np.array(thresholds) + 0.01 * step[3:]) > best
+    model = toxicity.ToxicityModel(weights, thresholds)
+    score = float(dense[0] @ weights[:3])
+    grades = np.diff([0.0, *(1 / (1 + np.exp(score - t)) for t in thresholds), 1.0])
+    assert model.expected(score) == pytest.approx(float(grades @ [0, 1, 2]))
+
+
 def test_no_labels_reject_nothing(spark, repeated):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.grade_toxicity(repeated, toxicity.fit_toxicity(repeated, none)).where("rejected").count() == 0
