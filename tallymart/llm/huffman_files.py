@@ -3,10 +3,11 @@
 The file format, in three Parquet tables of one folder:
 
 - ``code``: id, bits; the canonical code follows from the lengths, shorter first, then by id;
-- ``blocks``: shard, block, doc_ids and counts (packed 64-bit numbers), payload (the code words, first bit first),
-  checkpoints (packed 64-bit offsets in bits of every ``STRIDE``-th id). A block holds whole documents and can be
-  decoded without any other;
-- ``index``: shard, block, start: the ids before each block. Shards are ranges of doc_id in ascending order.
+- ``blocks``: shard, block, doc_ids and counts (packed 64-bit numbers), valid (a bit a document, first bit first; 0: no
+  id), payload (the code words, first bit first), checkpoints (packed 64-bit offsets in bits of every ``STRIDE``-th
+  id). A block holds whole documents and can be decoded without any other;
+- ``index``: shard, block, start: the ids before each block. Shards are ranges of doc_id in ascending order; rows
+  under one id, or none, go by a hash of their ids, so that they fill several shards.
 """
 
 from __future__ import annotations
@@ -180,18 +181,18 @@ def write_files(docs: DataFrame, path: str, into: str, end_id: int = 1, shard_by
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        names = ["shard", "block", "n_ids", "doc_ids", "counts", "payload", "checkpoints"]
-        kinds = [pa.int32(), pa.int32(), pa.int64()] + [pa.binary()] * 4
+        names = ["shard", "block", "n_ids", "doc_ids", "valid", "counts", "payload", "checkpoints"]
+        kinds = [pa.int32(), pa.int32(), pa.int64()] + [pa.binary()] * 5
         shard, block, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def close() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(x for _, x in held), dtype="<u2")
             payload, marks = encode(ids, table)
             own = pa.array([d for d, _ in held], pa.int64())
-            doc_ids = np.where(own.is_null().to_numpy(zero_copy_only=False), -(1 << 63), own.fill_null(0).to_numpy())
+            doc_ids, valid = own.fill_null(0).to_numpy(), own.is_valid().to_numpy(zero_copy_only=False)
             sizes = np.array([len(x) // 2 for _, x in held], dtype="<i8")
-            row = (shard, block, len(ids), doc_ids.astype("<i8").tobytes(), sizes.tobytes(), payload)
-            row = (*row, marks.astype("<i8").tobytes())
+            row = (shard, block, len(ids), doc_ids.astype("<i8").tobytes(), np.packbits(valid).tobytes())
+            row = (*row, sizes.tobytes(), payload, marks.astype("<i8").tobytes())
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
         for batch in batches:
@@ -204,12 +205,12 @@ def write_files(docs: DataFrame, path: str, into: str, end_id: int = 1, shard_by
         if held:
             yield close()
 
-    schema = (
-        "shard int, block int, n_ids long, doc_ids binary, counts binary, payload binary, checkpoints binary"
-    )
+    schema = "shard int, block int, n_ids long, doc_ids binary, valid binary, counts binary, payload binary, "
+    schema += "checkpoints binary"
     shards = max(1, -(-2 * int(counts.sum()) // shard_bytes), min(spark.sparkContext.defaultParallelism, len(used)))
-    ordered = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", F.crc32("ids"))
-    ordered.mapInArrow(blocks, schema).write.option("compression", "uncompressed").parquet(f"{into}/blocks")
+    keyed = rows.withColumn("order", F.xxhash64("ids"))
+    ordered = keyed.repartitionByRange(shards, "doc_id", "order").sortWithinPartitions("doc_id", "order")
+    ordered.select("doc_id", "ids").mapInArrow(blocks, schema).write.option("compression", "uncompressed").parquet(f"{into}/blocks")
 
     written = spark.read.schema(schema).parquet(f"{into}/blocks").select("shard", "block", "n_ids")
     shard_sums = written.groupBy("shard").agg(F.sum("n_ids").alias("n"))
@@ -251,13 +252,13 @@ def _read(spark: SparkSession, folder: str, with_ids: bool) -> DataFrame:
                 else:
                     values = [zlib.crc32(p.astype("<u4").tobytes()) for p in parts]
                 docs = np.frombuffer(row["doc_ids"], dtype="<i8")
-                missing = docs == -(1 << 63)
                 n = len(docs)
+                valid = np.unpackbits(np.frombuffer(row["valid"], dtype=np.uint8), count=n).astype(bool)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(n, row["shard"]), pa.int32()),
                         pa.array(np.full(n, row["block"]), pa.int32()),
-                        pa.array(docs, pa.int64(), mask=missing),
+                        pa.array(docs, pa.int64(), mask=~valid),
                         pa.array(ends - sizes),
                         pa.array(sizes),
                         pa.array(values, kind),

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.shared import ids_of_texts, leave_encoder, rows_of, text_bytes
 
+#: A row of any length is a piece to place: many short ones make as much work as fewer long ones.
+END_BYTES = 64
 PIECE_SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "sequence_length long"
@@ -72,7 +74,7 @@ def pack(
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_length.
 
     A document is its ids and ``end_id``. Its full stretches of ``width`` ids are sequences of their own at once; the
-    rest joins one of the groups, about ``group_bytes`` of text each, drawn from a hash of id, content and, so that
+    rest joins one of the groups, about ``group_bytes`` of text each (an end id counts as ``END_BYTES``), drawn from a hash of id, content and, so that
     equal rows spread too, how many equal ones their task has read before. Groups are
     packed independently, each in one task; their number follows the data. Ids travel once, as 16-bit numbers.
 
@@ -80,7 +82,7 @@ def pack(
     (nulls first), then content; other columns are left behind; an empty table gives no pieces.
     """
     rows = rows_of(docs)
-    groups = max(1, -(-text_bytes(rows) // group_bytes))
+    groups = max(1, -(-text_bytes(rows, END_BYTES) // group_bytes))
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "part", "length", "crc", "doc_tokens", "ids", "before"]

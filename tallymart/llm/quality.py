@@ -15,7 +15,7 @@ from tallymart.llm.shared import labelled_sample, rows_of
 
 WORD_SLOTS = 1 << 16
 GRAM_SLOTS = 1 << 16
-GRAM_SIZES = (2, 3)
+WORD_SIZES, GRAM_SIZES = (1, 2), (2, 3)
 #: A document is rejected by the method when its calibrated probability of good quality lies below this.
 LEAST_PROBABILITY = 0.5
 #: At most this many labelled rows of each class are used to fit.
@@ -25,20 +25,25 @@ SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
 
 
+def grams(items: np.ndarray, sizes: tuple[int, ...]) -> np.ndarray:
+    """32-bit hashes of all runs of so many neighbouring items (32-bit numbers)."""
+    found = [np.zeros(0, dtype=np.uint32)]
+    for size in sizes:
+        if len(items) >= size:
+            key = np.full(len(items) - size + 1, size, dtype=np.uint32)
+            for k in range(size):
+                key = (key ^ items[k : len(items) - size + 1 + k]) * np.uint32(2654435761)
+                key ^= key >> np.uint32(15)
+            found.append(key)
+    return np.concatenate(found)
+
+
 def slots(data: bytes, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the words, and of the byte n-grams of all sizes, of one text."""
-    word = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) % WORD_SLOTS
-    signs = np.frombuffer(data, dtype=np.uint8).astype(np.uint32)
-    grams = []
-    for size in GRAM_SIZES:
-        if len(signs) < size:
-            continue
-        key = np.full(len(signs) - size + 1, size, dtype=np.uint32)
-        for k in range(size):
-            key = key << 8 | signs[k : len(signs) - size + 1 + k]
-        grams.append((key * np.uint32(2654435761)) >> np.uint32(16))
-    gram = np.concatenate(grams).astype(np.int64) if grams else np.zeros(0, dtype=np.int64)
-    return word, gram % GRAM_SLOTS + WORD_SLOTS
+    """Slots of the word n-grams, and of the n-grams of code points, of one text."""
+    hashed = np.fromiter(map(zlib.crc32, words), dtype=np.uint32, count=len(words))
+    signs = np.frombuffer(data.decode("utf-8").encode("utf-32-le"), dtype="<u4")
+    word, gram = grams(hashed, WORD_SIZES), grams(signs, GRAM_SIZES)
+    return (word >> 16).astype(np.int64) % WORD_SLOTS, (gram >> 16).astype(np.int64) % GRAM_SLOTS + WORD_SLOTS
 
 
 def features(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -125,15 +130,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_P
     if len(set(y.tolist())) < 2:
         return QualityModel(np.zeros(WORD_SLOTS + GRAM_SLOTS, dtype=np.float32), 0.0, 1.0, 60.0)
     found = [(np.frombuffer(r.at, "<u4").astype(np.int64), np.frombuffer(r.value, "<f4").astype(float)) for r in rows]
-    held = np.arange(len(rows)) % 5 == 4
-    if len(set(y[held].tolist())) < 2 or len(set(y[~held].tolist())) < 2:
-        held[:] = False
+    # Every fifth row of each class; of a class with fewer than five the last one, which so is fitted on too.
+    place = np.where(y == 1, np.cumsum(y == 1), np.cumsum(y == 0))
+    last = np.where(y == 1, (y == 1).sum(), (y == 0).sum())
+    held = (place % 5 == 0) | ((last < 5) & (place == last))
+    fitted = ~held | (last < 5)
     weights, bias = fit_logistic(
-        [f for f, h in zip(found, held, strict=True) if not h], y[~held], WORD_SLOTS + GRAM_SLOTS
+        [f for f, h in zip(found, fitted, strict=True) if h], y[fitted], WORD_SLOTS + GRAM_SLOTS
     )
-    check = held if held.any() else ~held
-    score = np.array([weights[a] @ v for (a, v), c in zip(found, check, strict=True) if c]) + bias
-    slope, shift = fit_scale(score, y[check])
+    score = np.array([weights[a] @ v for (a, v), c in zip(found, held, strict=True) if c]) + bias
+    slope, shift = fit_scale(score, y[held])
     return QualityModel(weights.astype(np.float32), bias, slope, shift)
 
 

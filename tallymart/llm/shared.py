@@ -67,9 +67,9 @@ def rows_of(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def text_bytes(docs: DataFrame) -> int:
-    """UTF-8 bytes of all texts: one number, from which block and group counts follow."""
-    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def text_bytes(docs: DataFrame, each: int = 0) -> int:
+    """UTF-8 bytes of all texts, and ``each`` more a row: one number, from which block and group counts follow."""
+    return docs.agg(F.sum(F.octet_length("text") + F.lit(each).cast("long"))).first()[0] or 0
 
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -150,6 +150,7 @@ def pieces(path: str, text: str) -> list[str] | None:
 # A word of these characters alone is cut by the word tokenizer into runs of letters, digits and runs of signs, and has
 # no other normal form. Apostrophes may open contractions and stay out.
 PLAIN_WORD = re.compile(r"[a-z0-9ß-öø-ÿ!-&(-/:-@\[-`{-~]+")
+PLAIN_TEXT = re.compile(r"[a-z0-9ß-öø-ÿ!-&(-/:-@\[-`{-~ \t\r\n]*")
 PLAIN_RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 
 
@@ -187,7 +188,7 @@ class TwoGenerations(dict):
 class RunCache(TwoGenerations):
     """Ids of runs as packed 16-bit numbers, by the library's own model."""
 
-    def __init__(self, path: str, size: int = 100_000):
+    def __init__(self, path: str, size: int = 300_000):
         super().__init__(size)
         self.tokens = tokenizer(path).model.tokenize
         self.letters = dict(enumerate(byte_characters()))
@@ -202,7 +203,7 @@ class RunCache(TwoGenerations):
 class WordCache(TwoGenerations):
     """Ids of words as packed 16-bit numbers: those of the runs of a plain word, by the library's encoder for others."""
 
-    def __init__(self, path: str, size: int = 200_000):
+    def __init__(self, path: str, size: int = 100_000):
         super().__init__(size)
         self.path, self.runs = path, RunCache(path)
 
@@ -231,12 +232,29 @@ def leave_encoder() -> None:
         trim(0)
 
 
+def plain_runs(path: str, text: str) -> list[str] | None:
+    """The runs of a text that holds plain words alone: its ids are theirs in turn; else None."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+    if _special(path).search(text):
+        return None
+    lower = text.lower()
+    return PLAIN_RUN.findall(lower) if PLAIN_TEXT.fullmatch(lower) else None
+
+
 def ids_of_texts(path: str, texts: list[str]) -> list[bytes]:
     """The library's ids of each text under the word tokenizer, as packed 16-bit numbers."""
     import numpy as np
 
     cache, out = word_cache(path), []
     for text in texts:
+        runs = plain_runs(path, text)
+        if runs is not None:
+            out.append(b"".join(map(cache.runs.__getitem__, runs)))
+            continue
         parts = pieces(path, text)
         if parts is None:
             ids = tokenizer(path).encode(text, add_special_tokens=False).ids

@@ -436,7 +436,8 @@ def repeated_spans(
     again = windows.groupBy("n1", "n2").agg(F.count("*").alias("n")).where("n > 1").select("n1", "n2")
     hashed = windows.join(again, ["n1", "n2"], "left_semi")
     spans = spans.unionByName(hashed.select("key", F.col("start").alias("first"), (F.col("start") + length).alias("last")))
-    return rows, stored(spans, "spans")
+    # Rows that are equal share a key and give the same spans, once each.
+    return rows, stored(spans.distinct(), "spans")
 
 
 def _marked(entries_of: DataFrame) -> DataFrame:
@@ -510,13 +511,15 @@ def _joined(rows: DataFrame, spans: DataFrame, schema: str, result) -> DataFrame
 def removal_digests(
     docs: DataFrame, length: int = 400, gram: int = GRAM, busy_entries: int = BUSY_ENTRIES
 ) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row: see ``without_repeats``."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, text (what is left, without cut characters) of every row: see
+    ``without_repeats``."""
 
     def digest(data: bytes, spans: np.ndarray):
         left = kept_bytes(data, spans)
-        return len(data), len(data) - len(left), len(spans), hashlib.sha256(left).hexdigest()
+        more = hashlib.sha256(left).hexdigest(), left.decode(errors="ignore")
+        return len(data), len(data) - len(left), len(spans), *more
 
-    schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
     return _with_spans(docs, length, gram, busy_entries, schema, digest)
 
 

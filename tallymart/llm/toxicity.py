@@ -21,7 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import TwoGenerations, labelled_sample, leave_encoder, rows_of
+from tallymart.llm.shared import (
+    TwoGenerations,
+    batch_whole_texts,
+    labelled_sample,
+    leave_encoder,
+    rows_of,
+    ship_package,
+)
 
 LETTERS = re.compile(r"[^\W\d_]+")
 OPENINGS = (4, 5, 3, 2)
@@ -234,6 +241,22 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_
     return fit_rows(rows, toxic, known.base)
 
 
+def without_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows that ``grade_toxicity`` does not reject, each judged for itself, with all their columns."""
+    ship_package(docs.sparkSession)
+    batch_whole_texts(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leave_encoder()
+        cache = WordCodes()
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            yield batch.filter(pa.array([model.severity(t or "", cache) < model.reject_at for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def grade_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, severity (expected grade), grade (the nearest), rejected.
 

@@ -248,3 +248,27 @@ def test_odd_texts_and_tables(spark, odd_docs, texts, repeated):
     long = spark.createDataFrame([(1, "xy" * 400), (1, "xy" * 400), (2, "z" * 399)], "doc_id long, text string")
     found = sorted((r.doc_id, r.n_removed) for r in suffix_dedup.removal_digests(long).collect())
     assert found == [(1, 800), (1, 800), (2, 0)]
+
+
+def test_two_texts_under_one_id_are_linked_each(spark):
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(1, a), (1, b), (2, f"{a} more"), (3, f"{b} more"), (4, "something else"), (None, f"{b} again")]
+    found = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id, r.kept) for r in found) == [
+        (0, None, False), (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)
+    ]
+
+
+def test_equal_rows_share_their_spans(spark):
+    text = " ".join(f"word{k}" for k in range(400))
+    docs = spark.range(300).selectExpr("7L AS doc_id", f"'{text}' AS text")
+    rows, spans = suffix_dedup.repeated_spans(docs)
+    assert spans.count() == spans.distinct().count() < 50
+    left = suffix_dedup.removal_digests(docs).collect()
+    assert len(left) == 300 and {(r.n_removed, r.text) for r in left} == {(len(text), "")}
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.range(1, 700).selectExpr("id AS a", "id - 1 AS b")
+    found = components.components(edges, "a", "b").collect()
+    assert len(found) == 700 and {r.component for r in found} == {0}

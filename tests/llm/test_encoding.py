@@ -190,3 +190,34 @@ def test_caches_that_were_left_are_made_again():
     shared.leave_encoder()
     assert not shared.word_cache.cache_info().currsize and not shared.tokenizer.cache_info().currsize
     assert shared.ids_of_texts(path, ["plain words", "the naïve ones"]) == before
+
+
+def test_short_and_equal_rows_spread(spark):
+    path = shared.tokenizer_path(shared.WORD_TOKENIZER)
+    empty = spark.range(200_000).selectExpr("id AS doc_id", "if(id % 2 = 0, '', cast(null AS string)) AS text")
+    pieces = packing.pack(empty, path, group_bytes=1 << 20)
+    assert pieces.count() == 200_000
+    assert pieces.selectExpr("sequence_id >> 32").distinct().count() > 8
+    rows = [(-(1 << 63), "least"), (None, "no id"), (5, "a b"), (5, "c"), (5, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = huffman_files.round_trip(docs, path).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, -(1 << 63), 5, 5, 5]
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:k]) for k in range(5)]
+
+
+def test_a_hot_id_fills_several_shards(spark, tmp_path):
+    path = shared.tokenizer_path(shared.WORD_TOKENIZER)
+    docs = spark.range(4000).selectExpr("if(id % 3 = 0, 7L, id) AS doc_id", "concat('text ', id) AS text")
+    folder = huffman_files.write_files(docs, path, str(tmp_path / "f"), shard_bytes=2000)
+    got = huffman_files.read_files(spark, folder).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted(r.doc_id for r in docs.collect())
+    assert spark.read.parquet(f"{folder}/blocks").select("shard").distinct().count() > 4
+
+
+def test_runs_of_plain_texts_are_the_librarys():
+    path = shared.tokenizer_path(shared.WORD_TOKENIZER)
+    texts = ["Plain, words; ONE 2 33\n\ttabs", "Größe ÀÉ ñandú?!", "it's not plain", "<|endoftext|> a", "\x1c odd", "", "中"]
+    assert [shared.plain_runs(path, t) is None for t in texts] == [False, False, True, True, True, False, True]
+    own = shared.tokenizer(path)
+    want = [np.array(own.encode(t, add_special_tokens=False).ids, dtype="<u2").tobytes() for t in texts]
+    assert shared.ids_of_texts(path, texts) == want

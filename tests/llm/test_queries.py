@@ -55,10 +55,25 @@ def test_pipeline_takes_out_what_was_planted(spark, sf_dir, tmp_path):
 
 def test_columns_pass_through_with_their_values(spark):
     docs = spark.createDataFrame([(1, "a", 7), (2, "b", 8), (None, "c", 9)], "doc_id long, text string, dropped_hash int")
-    left = corpus_pipeline.without(docs, docs.where("doc_id = 2"))
+    dropped = docs.where("doc_id <> 1").selectExpr("doc_id", "sha2(text, 256) AS text_sha256", "1 AS row_hash")
+    left = corpus_pipeline.without(docs, dropped)
     assert sorted(r.dropped_hash for r in left.collect()) == [7, 9]
 
 
+def test_a_text_that_occurs_once_stays_under_an_id_that_is_dropped(spark):
+    rows = [(1, "a copied text", 5), (1, "an own text", 6), (2, "a copied text", 7), (3, None, 8), (3, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_hash int")
+    left = corpus_pipeline.exact_copies(spark, docs, "")
+    assert sorted((r.doc_id, r.text, r.row_hash) for r in left.collect() if r.text) == [
+        (1, "an own text", 6), (2, "a copied text", 7)
+    ]
+    assert left.where("text IS NULL").count() == 1
+    some, other = " ".join(f"a{k}" for k in range(90)), " ".join(f"b{k}" for k in range(90))
+    near = spark.createDataFrame([(1, some), (2, f"{some} more"), (2, other)], "doc_id long, text string")
+    left = corpus_pipeline.near_copies(spark, near, "")
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [(1, some), (2, other)]
+
+
 def test_pipeline_of_nothing(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
