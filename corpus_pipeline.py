@@ -1,8 +1,9 @@
 """The corpus pipeline: documents without toxic texts, copies, near copies and repeated passages, packed.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
-stage's docs. All but the last return the columns of documents. Null texts count as empty; rows without an id cannot be
-named by a decision and stay; extra columns pass through; an empty table stays empty.
+stage's docs. All but the last return the columns of documents. Null texts count as empty. Decisions name a row by its id
+and text, so of several texts under one id each is judged for itself; rows without an id cannot be named as copies and
+stay. Extra columns pass through; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -20,22 +21,26 @@ REPEAT_GRAM = 64
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not among the dropped; only rows that may be dropped are shuffled to make sure."""
-    dropped = stored(dropped.select("doc_id").where("doc_id IS NOT NULL").distinct(), "dropped")
+    """Rows whose doc_id and text are not among the dropped (doc_id, text_sha256); only rows that may be are shuffled."""
+    dropped = dropped.select(F.col("doc_id").alias("dropped_id"), "text_sha256").where("dropped_id IS NOT NULL")
+    dropped = stored(dropped.distinct(), "dropped")
     names = docs.columns
-    mark = "dropped_hash"
-    while mark.lower() in {name.lower() for name in names}:
-        mark += "_"
-    marked = docs.withColumn(mark, F.xxhash64(F.col("doc_id").cast("long")))
-    known = IdFilter(dropped.select(F.xxhash64("doc_id").alias("h")), "h")
-    unsure = known.passing(marked, mark).join(dropped, "doc_id", "left_anti")
+    mark, own = "row_hash", "row_sha256"
+    while {mark, own} & {name.lower() for name in names}:
+        mark, own = f"{mark}_", f"{own}_"
+    marked = docs.withColumn(own, F.sha2(F.coalesce("text", F.lit("")), 256))
+    marked = marked.withColumn(mark, F.xxhash64(F.col("doc_id").cast("long"), own))
+    known = IdFilter(dropped.select(F.xxhash64("dropped_id", "text_sha256").alias("h")), "h")
+    dropped = dropped.withColumnRenamed("text_sha256", "dropped_sha256")
+    same = (F.col("doc_id") == F.col("dropped_id")) & (F.col(own) == F.col("dropped_sha256"))
+    unsure = known.passing(marked, mark).join(dropped, same, "left_anti")
     return unsure.select(names).unionByName(known.passing(marked, mark, member=False).select(names))
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal model does not reject; it is fitted on the labelled ones among them."""
     model = toxicity.fit_toxicity(docs, load(spark, sf_dir, "labels"))
-    return without(docs, toxicity.grade_toxicity(docs, model).where("rejected"))
+    return toxicity.without_toxic(docs, model)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
