@@ -238,11 +238,13 @@ def condition_gaps(
     """The unit's latest rates by condition beside the peer group and the nation.
 
     The three geographies become columns in one aggregate. A rate that is not published stays null
-    with its flag, and so do the gaps from it. ``latest_fy`` defaults to the table's last year.
+    with its flag, and so do the gaps from it; a condition or group without a name has none to stand beside.
+    ``latest_fy`` defaults to the table's last year.
     """
     latest = indicator.agg(F.max("fy_end_year")).scalar() if latest_fy is None else latest_fy
     code, rate = F.col("geography_code"), F.col("measure_value")
     is_unit = code == codes.unit
+    named = F.col("pph_group").isNotNull() & F.col("pph_condition").isNotNull()
     rows = indicator.filter(
         (F.col("measure_type") == "rate_age_standardised")
         & (F.col("demographic_group") == everyone)
@@ -255,8 +257,8 @@ def condition_gaps(
         .agg(
             max_where(F.col("financial_year"), is_unit).alias("financial_year"),
             max_where(rate, is_unit).alias("unit_rate"),
-            max_where(rate, code == codes.peer_group).alias("peer_group_rate"),
-            max_where(rate, code == codes.national).alias("national_rate"),
+            max_where(rate, named & (code == codes.peer_group)).alias("peer_group_rate"),
+            max_where(rate, named & (code == codes.national)).alias("national_rate"),
             max_where(F.col("flag"), is_unit).alias("unit_flag"),
             any_where(is_unit).alias("_unit"),
         )
@@ -289,38 +291,26 @@ def area_hotspots(
 
     ``areas`` as from ``area_table``, best a written table since it is read twice. The baseline is
     the named year, and an area without a row in it (or a latest year without references) drops out.
-    Latest and baseline rows of an area meet in one aggregate; the rank over all areas (all of them
-    in the one latest year) is spread.
+    An area under two names has a row for each; the rank over all areas (all of them in the one latest
+    year) is spread.
     """
     latest = areas.agg(F.max("fy_end_year")).scalar()
-    is_base = F.col("fy_end_year") == params.baseline_fy
-    is_latest = F.col("fy_end_year") == F.col("latest_fy")
-    columns = (
-        "financial_year", "area_name", "subregion", "rate_age_standardised",
-        "after_hours_rate_age_standardised", "is_flagged",
-    )
-    current = F.struct(*columns)
+    base = areas.filter(F.col("fy_end_year") == params.baseline_fy).select(
+        F.col("area_code").alias("_base_code"), F.col("rate_age_standardised").alias("baseline_rate")
+    )
     paired = (
-        areas.withColumn("latest_fy", latest)
-        .filter(is_base | is_latest)
-        .groupBy("area_code")
-        .agg(
-            F.max("latest_fy").alias("fy_end_year"),
-            max_where(current, is_latest).alias("now"),
-            max_where(F.col("rate_age_standardised"), is_base).alias("baseline_rate"),
-            any_where(is_base).alias("_base"),
-        )
-        .filter("_base AND now IS NOT NULL")
+        areas.filter(F.col("fy_end_year") == latest)
+        .join(base, F.col("area_code") == F.col("_base_code"))
         .select(
             "fy_end_year",
-            "now.financial_year",
+            "financial_year",
             "area_code",
-            "now.area_name",
-            "now.subregion",
-            F.col("now.rate_age_standardised").alias("rate"),
+            "area_name",
+            "subregion",
+            F.col("rate_age_standardised").alias("rate"),
             "baseline_rate",
-            F.col("now.after_hours_rate_age_standardised").alias("after_hours_rate"),
-            F.col("now.is_flagged").alias("comparability_flag"),
+            F.col("after_hours_rate_age_standardised").alias("after_hours_rate"),
+            F.col("is_flagged").alias("comparability_flag"),
         )
         .join(F.broadcast(references), "fy_end_year")
         .join(count_services(services, service_types), "area_name", "left")

@@ -152,12 +152,13 @@ def drift(committed: DataFrame, rebuilt: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
-    """One named check of a table: a row condition, or a function to its failing rows."""
+    """One named check of a table: a row condition, or a function to its failing rows, which may need more tables."""
 
     name: str
     table: str
     condition: Column | None = None
     failing: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None
+    needs: tuple[str, ...] = ()
 
     def __post_init__(self):
         if (self.condition is None) == (self.failing is None):
@@ -192,6 +193,7 @@ def related(table: str, column: str, parent: str, parent_column: str | None = No
         f"relationships_{table}_{column}",
         table,
         failing=lambda t: orphans(t[table], column, t[parent], parent_column),
+        needs=(parent,),
     )
 
 
@@ -228,13 +230,21 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
 
 
 class QualityGateError(RuntimeError):
-    """A check failed, so the layers behind it are not written."""
+    """A check failed. ``held`` tables keep their last version, ``skipped`` ones read these and were not built."""
+
+    def __init__(self, message: str, held: Sequence[str] = (), skipped: Sequence[str] = ()):
+        super().__init__(message)
+        self.held, self.skipped = tuple(held), tuple(skipped)
+
+
+def gate_message(failed: Mapping[str, int]) -> str:
+    return "; ".join(f"{name}: {n} failing rows" for name, n in sorted(failed.items()))
 
 
 def gate(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> list[tuple[str, str, int]]:
     """Run the checks and stop on a failure. One row per check reaches the driver."""
     results = [(r["check"], r["table"], r["failures"]) for r in run_checks(tables, checks).collect()]
-    failed = sorted((name, n) for name, _, n in results if n)
+    failed = {name: n for name, _, n in results if n}
     if failed:
-        raise QualityGateError("; ".join(f"{name}: {n} failing rows" for name, n in failed))
+        raise QualityGateError(gate_message(failed))
     return results

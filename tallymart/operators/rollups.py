@@ -7,31 +7,30 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions.aggregates import any_where, count_where, max_where, sum_where
+from tallymart.functions.aggregates import max_where
+
+# Both rollups are views of a layer too, so they are written as SQL: {source} is a frame or a table of the catalog.
+CONTACT_ROLLUP = """
+SELECT episode_id, count(1) AS contacts_booked, count_if(is_attended) AS contacts_attended,
+       sum(CASE WHEN is_attended THEN duration_minutes END) AS minutes_attended, max(contact_date) AS last_contact_date
+FROM {source} GROUP BY episode_id"""
+OUTCOME_PIVOT = """
+SELECT episode_id, min(measure) AS outcome_measure,
+       max(CASE WHEN collection_occasion = 'start' THEN score END) AS start_score,
+       max(CASE WHEN collection_occasion = 'end' THEN score END) AS end_score,
+       count_if(collection_occasion = 'start') > 0 AS has_start_measure,
+       count_if(collection_occasion = 'end') > 0 AS has_end_measure
+FROM {source} GROUP BY episode_id"""
 
 
 def rollup_contacts(contacts: DataFrame) -> DataFrame:
     """Activity per episode; minutes stay null when nothing was attended."""
-    attended = F.col("is_attended")
-    return contacts.groupBy("episode_id").agg(
-        F.count(F.lit(1)).alias("contacts_booked"),
-        count_where(attended).alias("contacts_attended"),
-        sum_where(F.col("duration_minutes"), attended).alias("minutes_attended"),
-        F.max("contact_date").alias("last_contact_date"),
-    )
+    return contacts.sparkSession.sql(CONTACT_ROLLUP, source=contacts)
 
 
 def pivot_outcomes(measures: DataFrame) -> DataFrame:
     """Start and end score per episode side by side; the alphabetically first instrument names it."""
-    at_start = F.col("collection_occasion") == "start"
-    at_end = F.col("collection_occasion") == "end"
-    return measures.groupBy("episode_id").agg(
-        F.min("measure").alias("outcome_measure"),
-        max_where(F.col("score"), at_start).alias("start_score"),
-        max_where(F.col("score"), at_end).alias("end_score"),
-        any_where(at_start).alias("has_start_measure"),
-        any_where(at_end).alias("has_end_measure"),
-    )
+    return measures.sparkSession.sql(OUTCOME_PIVOT, source=measures)
 
 
 def pivot_measures(

@@ -2,20 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.operators import cleaning, dimensions, fact, indicators, kpis, quality, rollups
-from tallymart.operators.quality import Check, accepted, gate, not_null, related, unique, unique_combination
+from tallymart.operators.quality import (
+    Check,
+    QualityGateError,
+    accepted,
+    not_null,
+    related,
+    unique,
+    unique_combination,
+)
 from tallymart.operators.scoping import ScopeSpec, require_complete, scope_release
 from tallymart.params import Params
 from tallymart.plans import packs
 from tallymart.session import materialise
 from tallymart.sources import schemas
 from tallymart.sources.readers import read_csv, read_folder, read_release, read_text
-from tallymart.sources.writers import Export, create_layers, export_marts, publish_table, publish_view
+from tallymart.sources.writers import (
+    Export,
+    create_layers,
+    export_marts,
+    new_run,
+    publish_view,
+    swap_version,
+    write_version,
+)
 
 ED, PPH = "lower_urgency_ed", "pph"
 
@@ -33,14 +50,6 @@ def stage(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def roll_up(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The intermediate layer: both rollups to episode grain."""
-    return {
-        "episode_contacts": rollups.rollup_contacts(t["contacts"]),
-        "episode_outcomes": rollups.pivot_outcomes(t["measures"]),
-    }
-
-
 def staging_checks(params: Params) -> list[Check]:
     levels = (
         params.codes.national_level,
@@ -89,6 +98,7 @@ def staging_checks(params: Params) -> list[Check]:
             "contacts_within_episode",
             "contacts",
             failing=lambda t: quality.contacts_outside_episode(t["contacts"], t["episodes"], params.extract_date),
+            needs=("episodes",),
         ),
         Check(
             "one_contact_per_episode_day",
@@ -99,105 +109,135 @@ def staging_checks(params: Params) -> list[Check]:
             "first_contact_has_record",
             "episodes",
             failing=lambda t: quality.first_contact_without_record(t["episodes"], t["contacts"]),
+            needs=("contacts",),
         ),
         Check(
             "service_locations_mapped",
             "service_locations",
             failing=lambda t: quality.unmapped(t["service_locations"], "area_name", t["area_map"]),
+            needs=("area_map",),
         ),
     ]
 
 
-def build_marts(t: Mapping[str, DataFrame], params: Params, save=lambda name, df: df) -> dict[str, DataFrame]:
-    """Every mart, each handed to ``save`` before the next reads it.
+@dataclass(frozen=True)
+class Mart:
+    """A mart, the tables it reads, and how it is made of them."""
 
-    ``save`` returns what later marts read: the frame itself, or the table it was written to, so
-    the fact is computed once and not once per KPI.
-    """
-    codes, marts = params.codes, {}
+    name: str
+    inputs: tuple[str, ...]
+    make: Callable[[Mapping[str, DataFrame], Params], DataFrame]
 
-    def put(name: str, df: DataFrame) -> DataFrame:
-        marts[name] = save(name, df)
-        return marts[name]
 
-    providers = put("dim_provider", dimensions.dim_provider(t["providers"], t["subregions"]))
-    subregions = put("dim_subregion", dimensions.dim_subregion(t["subregions"], t["area_map"]))
-    episodes = put(
-        "fct_episode",
-        fact.build_episode_fact(t["episodes"], t["episode_outcomes"], t["episode_contacts"], params),
-    )
-    put("kpi_provider_quarterly", kpis.kpi_quarterly(episodes, providers))
-    put("kpi_provider_scorecard", kpis.kpi_scorecard(episodes, providers, params))
-    put(
-        "subregion_service_reach",
-        kpis.service_reach(
-            episodes,
-            providers,
-            subregions,
-            t[ED],
-            t["area_map"],
-            params,
-            level=codes.area_level,
-            triage=packs.LOWER_URGENCY_TRIAGE,
-            presentations=packs.ALL_HOURS_NUMBER,
-            population=packs.POPULATION,
-        ),
+def _service_reach(t: Mapping[str, DataFrame], params: Params) -> DataFrame:
+    return kpis.service_reach(
+        t["fct_episode"],
+        t["dim_provider"],
+        t["dim_subregion"],
+        t[ED],
+        t["area_map"],
+        params,
+        level=params.codes.area_level,
+        triage=packs.LOWER_URGENCY_TRIAGE,
+        presentations=packs.ALL_HOURS_NUMBER,
+        population=packs.POPULATION,
     )
 
+
+def _benchmark(t: Mapping[str, DataFrame], params: Params) -> DataFrame:
     # The benchmark reads the all-hours rows of the full label, whose staged band is 'All-hours'.
     full_label = (
         (F.col("measure_name") == packs.ALL_HOURS_RATE)
         & (F.col("triage_category") == packs.LOWER_URGENCY_TRIAGE)
         & (F.col("hour_band") == packs.ALL_HOURS)
     )
-    put(
-        "lower_urgency_ed_benchmark",
-        indicators.benchmark_unit(t[ED].filter(full_label).withColumnRenamed("measure_value", "rate"), codes),
-    )
-    areas = put(
-        "lower_urgency_ed_sa3",
-        rollups.area_table(
-            t[ED], t["area_map"], packs.AREA_COLUMNS, codes.area_level, packs.LOWER_URGENCY_TRIAGE
-        ),
-    )
-    by_band = put(
-        "im02_lower_urgency",
-        indicators.indicator_trend(
-            indicators.rates_by_band(t[ED], codes, packs.LOWER_URGENCY_TRIAGE, packs.BAND_SEPARATOR),
-            "hour_band",
-            "IM-02",
-            codes,
-        ),
-    )
-    by_category = put(
-        "im01_pph",
-        indicators.indicator_trend(
-            indicators.rates_by_category(t[PPH], codes, packs.PPH_TOTALS), "pph_category", "IM-01", codes
-        ),
-    )
-    all_hours = by_band.filter(F.col("hour_band") == packs.ALL_HOURS)
-    total = by_category.filter(F.col("pph_category") == "PPH")
-    put(
-        "im01_sa3",
-        indicators.area_trend(
-            indicators.area_rates(t[PPH], t["area_map"], codes), indicators.yearly_references(total, codes)
-        ),
+    return indicators.benchmark_unit(t[ED].filter(full_label).withColumnRenamed("measure_value", "rate"), params.codes)
+
+
+def _area_table(t: Mapping[str, DataFrame], params: Params) -> DataFrame:
+    return rollups.area_table(
+        t[ED], t["area_map"], packs.AREA_COLUMNS, params.codes.area_level, packs.LOWER_URGENCY_TRIAGE
     )
-    put("im01_conditions", indicators.condition_gaps(t[PPH], codes))
-    put("im01_age", indicators.age_trend(t[PPH], codes))
-    put(
-        "im02_sa3_hotspots",
-        indicators.area_hotspots(
-            areas,
-            indicators.yearly_references(all_hours, codes),
-            t["service_locations"],
-            packs.SERVICE_TYPES,
-            params,
-        ),
+
+
+def _band_trend(t: Mapping[str, DataFrame], params: Params) -> DataFrame:
+    rates = indicators.rates_by_band(t[ED], params.codes, packs.LOWER_URGENCY_TRIAGE, packs.BAND_SEPARATOR)
+    return indicators.indicator_trend(rates, "hour_band", "IM-02", params.codes)
+
+
+def _category_trend(t: Mapping[str, DataFrame], params: Params) -> DataFrame:
+    rates = indicators.rates_by_category(t[PPH], params.codes, packs.PPH_TOTALS)
+    return indicators.indicator_trend(rates, "pph_category", "IM-01", params.codes)
+
+
+def _all_hours(t: Mapping[str, DataFrame]) -> DataFrame:
+    return t["im02_lower_urgency"].filter(F.col("hour_band") == packs.ALL_HOURS)
+
+
+def _total(t: Mapping[str, DataFrame]) -> DataFrame:
+    return t["im01_pph"].filter(F.col("pph_category") == "PPH")
+
+
+def _area_trend(t: Mapping[str, DataFrame], params: Params) -> DataFrame:
+    rates = indicators.area_rates(t[PPH], t["area_map"], params.codes)
+    return indicators.area_trend(rates, indicators.yearly_references(_total(t), params.codes))
+
+
+def _hotspots(t: Mapping[str, DataFrame], params: Params) -> DataFrame:
+    references = indicators.yearly_references(_all_hours(t), params.codes)
+    return indicators.area_hotspots(
+        t["lower_urgency_ed_sa3"], references, t["service_locations"], packs.SERVICE_TYPES, params
     )
-    put("peer_comparison", indicators.peer_comparison([all_hours, total], codes))
-    put("criteria_check", indicators.criteria_check(all_hours, total, params))
-    return marts
+
+
+MARTS = (
+    Mart("dim_provider", ("providers", "subregions"), lambda t, p: dimensions.dim_provider(t["providers"], t["subregions"])),
+    Mart("dim_subregion", ("subregions", "area_map"), lambda t, p: dimensions.dim_subregion(t["subregions"], t["area_map"])),
+    Mart(
+        "fct_episode",
+        ("episodes", "episode_outcomes", "episode_contacts"),
+        lambda t, p: fact.build_episode_fact(t["episodes"], t["episode_outcomes"], t["episode_contacts"], p),
+    ),
+    Mart(
+        "kpi_provider_quarterly",
+        ("fct_episode", "dim_provider"),
+        lambda t, p: kpis.kpi_quarterly(t["fct_episode"], t["dim_provider"]),
+    ),
+    Mart(
+        "kpi_provider_scorecard",
+        ("fct_episode", "dim_provider"),
+        lambda t, p: kpis.kpi_scorecard(t["fct_episode"], t["dim_provider"], p),
+    ),
+    Mart(
+        "subregion_service_reach", ("fct_episode", "dim_provider", "dim_subregion", ED, "area_map"), _service_reach
+    ),
+    Mart("lower_urgency_ed_benchmark", (ED,), _benchmark),
+    Mart("lower_urgency_ed_sa3", (ED, "area_map"), _area_table),
+    Mart("im02_lower_urgency", (ED,), _band_trend),
+    Mart("im01_pph", (PPH,), _category_trend),
+    Mart("im01_sa3", (PPH, "area_map", "im01_pph"), _area_trend),
+    Mart("im01_conditions", (PPH,), lambda t, p: indicators.condition_gaps(t[PPH], p.codes)),
+    Mart("im01_age", (PPH,), lambda t, p: indicators.age_trend(t[PPH], p.codes)),
+    Mart("im02_sa3_hotspots", ("lower_urgency_ed_sa3", "im02_lower_urgency", "service_locations"), _hotspots),
+    Mart(
+        "peer_comparison",
+        ("im02_lower_urgency", "im01_pph"),
+        lambda t, p: indicators.peer_comparison([_all_hours(t), _total(t)], p.codes),
+    ),
+    Mart(
+        "criteria_check",
+        ("im02_lower_urgency", "im01_pph"),
+        lambda t, p: indicators.criteria_check(_all_hours(t), _total(t), p),
+    ),
+)
+
+
+def mart_waves(marts: Sequence[Mart] = MARTS) -> list[list[Mart]]:
+    """Marts by how many other marts lie below them: a wave reads earlier waves only."""
+    depth: dict[str, int] = {}
+    for mart in marts:  # each stands behind those it reads
+        depth[mart.name] = 1 + max((depth[i] for i in mart.inputs if i in depth), default=-1)
+    return [[m for m in marts if depth[m.name] == d] for d in range(max(depth.values(), default=-1) + 1)]
 
 
 def mart_checks(
@@ -252,11 +292,13 @@ def mart_checks(
             "ed_areas_each_year",
             "lower_urgency_ed_sa3",
             failing=lambda t: quality.incomplete_years(t["lower_urgency_ed_sa3"], t["area_map"]),
+            needs=("area_map",),
         ),
         Check(
             "pph_areas_each_year",
             "im01_sa3",
             failing=lambda t: quality.incomplete_years(t["im01_sa3"], t["area_map"]),
+            needs=("area_map",),
         ),
         Check(
             "pph_rows_complete",
@@ -276,6 +318,7 @@ def mart_checks(
                 {"hour_band": t["im02_lower_urgency"], "pph_category": t["im01_pph"]},
                 params.tolerance,
             ),
+            needs=("im02_lower_urgency", "im01_pph"),
         ),
     ]
 
@@ -306,6 +349,55 @@ def read_releases(
 
 
 EPISODE_TABLES = ("episodes", "contacts", "measures")
+# The intermediate layer: each view, the staging table it rolls up, and its SQL.
+VIEWS = {
+    "episode_contacts": ("contacts", rollups.CONTACT_ROLLUP),
+    "episode_outcomes": ("measures", rollups.OUTCOME_PIVOT),
+}
+
+
+class Build:
+    """One run: tables are written beside the current ones, checked, and take their place if they pass.
+
+    A check runs as soon as the tables it reads are there. If it fails, the tables of the same wave that it reads are
+    held back: their last version stays, and so does that of every table that reads them. All others go on.
+    """
+
+    def __init__(self, spark: SparkSession, checks: Sequence[Check]):
+        self.spark, self.run, self.waiting = spark, new_run(), list(checks)
+        self.tables: dict[str, DataFrame] = {}
+        self.failed: dict[str, int] = {}
+        self.held: list[str] = []
+        self.skipped: list[str] = []
+
+    def wave(self, layer: str, frames: Mapping[str, DataFrame], layouts: Mapping[str, dict] = {}, stored: bool = True):
+        """Write tables of a layer (or only check them, if not ``stored``) and publish those that pass."""
+        new = dict(frames)
+        if stored:
+            new = {n: write_version(df, layer, n, self.run, **layouts.get(n, {})) for n, df in frames.items()}
+        known = self.tables | new
+        due = [c for c in self.waiting if {c.table, *c.needs} <= known.keys()]
+        self.waiting = [c for c in self.waiting if c not in due]
+        counts = {r["check"]: r["failures"] for r in quality.run_checks(known, due).collect()} if due else {}
+        self.failed |= {name: n for name, n in counts.items() if n}
+        blamed = {t for c in due if counts[c.name] for t in (c.table, *c.needs)}
+        for name, df in new.items():
+            if name in blamed:
+                self.held.append(name)
+            else:
+                self.tables[name] = swap_version(self.spark, layer, name, self.run) if stored else df
+
+    def ready(self, name: str, inputs: Sequence[str]) -> bool:
+        """Whether all inputs are there; a table whose inputs were held back or skipped is skipped."""
+        if all(i in self.tables for i in inputs):
+            return True
+        self.skipped.append(name)
+        return False
+
+    def close(self) -> None:
+        if self.failed:
+            message = quality.gate_message(self.failed)
+            raise QualityGateError(message, held=sorted(self.held), skipped=sorted(self.skipped))
 
 
 def build(
@@ -318,35 +410,40 @@ def build(
     episode_buckets: int | None = None,
     checks_on_marts: list[Check] | None = None,
 ) -> dict[str, DataFrame]:
-    """Stage, gate, write the marts, gate again, export. A failing check stops what follows it.
+    """Stage, check and publish layer by layer, then export the marts that were replaced.
 
-    Staging is written once by default: as views every check and mart would parse the raw files
-    again. ``episode_buckets`` buckets the three episode tables by episode, so that their rollups,
-    joins and key checks do not shuffle; the indicators are partitioned by year.
+    A failing check holds back its table and whatever reads it; these keep their last version, all others are
+    replaced. The error that names the failed checks comes at the end. Staging is written once by default: otherwise
+    every check and mart parses the raw files again, and neither staging nor the intermediate views are published.
+    ``episode_buckets`` buckets the three episode tables by episode, so that their rollups, joins and key checks do
+    not shuffle; the indicators are partitioned by year.
     """
     create_layers(spark)
-    seeds = {name: publish_table(raw[name], "reference", name) for name in schemas.SEEDS}
-    staged = stage(raw) | seeds
-    staged["service_locations"] = cleaning.clean_services(seeds["service_locations"])
-    for name, df in staged.items():
-        if staging_tables and name not in seeds:
-            layout = {}
-            if name in EPISODE_TABLES and episode_buckets:
-                layout = {"bucket_by": "episode_id", "buckets": episode_buckets}
-            elif name in (ED, PPH):
-                layout = {"partition_by": ["fy_end_year"]}
-            staged[name] = publish_table(df, "staging", name, **layout)
-        else:
-            publish_view(df, "staging", name)
-    gate(staged, staging_checks(params))
-    intermediate = roll_up(staged)
-    for name, df in intermediate.items():
-        publish_view(df, "intermediate", name)
-    marts = build_marts(staged | intermediate, params, lambda name, df: publish_table(df, "marts", name))
-    gate(marts | staged, mart_checks(params) if checks_on_marts is None else checks_on_marts)
+    on_marts = mart_checks(params) if checks_on_marts is None else checks_on_marts
+    job = Build(spark, [*staging_checks(params), *on_marts])
+    seeds = {name: raw[name] for name in schemas.SEEDS if name != "service_locations"}
+    job.wave("reference", seeds)
+    services = write_version(raw["service_locations"], "reference", "service_locations", job.run)
+    swap_version(spark, "reference", "service_locations", job.run)
+
+    staged = stage(raw) | {"service_locations": cleaning.clean_services(services)}
+    layouts = {name: {"partition_by": ["fy_end_year"]} for name in (ED, PPH)}
+    if episode_buckets:
+        layouts |= {name: {"bucket_by": "episode_id", "buckets": episode_buckets} for name in EPISODE_TABLES}
+    job.wave("staging", staged, layouts, stored=staging_tables)
+
+    for name, (source, query) in VIEWS.items():
+        if job.ready(name, [source]):
+            if staging_tables:
+                job.tables[name] = publish_view(spark, "intermediate", name, query.format(source=f"staging.{source}"))
+            else:
+                job.tables[name] = spark.sql(query, source=job.tables[source])
+    for wave in mart_waves():
+        job.wave("marts", {m.name: m.make(job.tables, params) for m in wave if job.ready(m.name, m.inputs)})
     if export_to:
-        export_marts(spark, export_to, packs.EXPORTS)
-    return marts
+        export_marts(spark, export_to, {n: e for n, e in packs.EXPORTS.items() if e.table in job.tables})
+    job.close()
+    return {m.name: job.tables[m.name] for m in MARTS}
 
 
 def export_drift(

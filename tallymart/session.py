@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,10 +65,11 @@ def materialise(df: DataFrame) -> DataFrame:
 
     The branches then scan that table instead of each repeating the scan and shuffle of the facts
     behind it, and a lost executor re-reads a file. Where the cluster names no shared folder the
-    plan stays whole: same result, more work.
+    plan stays whole, with a warning: same result, more work.
     """
     folder = _shared_folder(df.sparkSession)
     if folder is None:
+        warnings.warn("spark.checkpoint.dir names no folder: reduced tables are computed once a branch", stacklevel=2)
         return df
     path = f"{folder.rstrip('/')}/tallymart-{uuid.uuid4().hex}"
     df.write.parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -29,9 +31,54 @@ def create_layers(spark: SparkSession, layers: Sequence[str] = ("staging", "inte
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
 
 
-def publish_view(df: DataFrame, layer: str, name: str):
-    """Staging and intermediate results stay views, so a mart's filters reach the source."""
-    df.createOrReplaceTempView(f"{layer}__{name}")
+def publish_view(spark: SparkSession, layer: str, name: str, query: str) -> DataFrame:
+    """A view of a layer in the catalog: it outlives the session, and a reader's filters reach its source."""
+    _make_way(spark, layer, name)
+    spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{name}` AS {query}")
+    return spark.table(f"{layer}.{name}")
+
+
+def _make_way(spark: SparkSession, layer: str, name: str) -> None:
+    """A plain table under the name of a view, as builds without versions left it, goes."""
+    if spark.catalog.tableExists(f"{layer}.{name}") and spark.catalog.getTable(f"{layer}.{name}").tableType != "VIEW":
+        spark.sql(f"DROP TABLE `{layer}`.`{name}`")
+
+
+def new_run() -> str:
+    """A name for the versions that one build writes."""
+    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S}_{uuid.uuid4().hex[:8]}"
+
+
+def version_name(name: str, run: str) -> str:
+    return f"{name}__v_{run}"
+
+
+def write_version(df: DataFrame, layer: str, name: str, run: str, **layout) -> DataFrame:
+    """Write a table under the run's own name: readers of the layer do not see it until ``swap_version``."""
+    return publish_table(df, layer, version_name(name, run), **layout)
+
+
+def current_version(spark: SparkSession, layer: str, name: str) -> str | None:
+    """The table behind a name of a layer."""
+    if not spark.catalog.tableExists(f"{layer}.{name}"):
+        return None
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED `{layer}`.`{name}`").where("col_name = 'View Text'").first()
+    return found.data_type.rsplit(".", 1)[-1].strip("`") if found else None
+
+
+def swap_version(spark: SparkSession, layer: str, name: str, run: str) -> DataFrame:
+    """Let a name of a layer stand for the run's version from now on.
+
+    The name is a view, replaced in one catalog step, so a reader sees the old version or the new one. The old one is
+    kept for queries that still read it; versions before it, and those that were held back, are dropped.
+    """
+    own, before = version_name(name, run), current_version(spark, layer, name)
+    table = publish_view(spark, layer, name, f"SELECT * FROM `{layer}`.`{own}`")
+    prefix = version_name(name, "")
+    for row in spark.sql(f"SHOW TABLES IN `{layer}` LIKE '{prefix}*'").collect():  # the versions of one name
+        if row.tableName.startswith(prefix) and row.tableName not in (own, before):
+            spark.sql(f"DROP TABLE `{layer}`.`{row.tableName}`")
+    return table
 
 
 def publish_table(

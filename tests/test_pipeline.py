@@ -18,7 +18,7 @@ from tallymart.plans import packs, pipeline
 from tallymart.session import _shared_folder, materialise, shuffle_settings
 from tallymart.sources import schemas
 from tallymart.sources.readers import read_csv, read_mart, read_release, read_text
-from tallymart.sources.writers import publish_table, write_extract
+from tallymart.sources.writers import current_version, publish_table, swap_version, write_extract, write_version
 
 AREAS = ("Geelong", "Grampians")
 YEARS = range(2018, 2021)
@@ -118,7 +118,11 @@ def test_build_writes_checks_and_exports(spark, folders, tmp_path):
         "im01_age": 18, "im02_sa3_hotspots": 2, "peer_comparison": 4, "criteria_check": 6,
     }
     assert read_mart(spark, "fct_episode").count() == 24
-    assert spark.table("intermediate__episode_contacts").count() == 24
+    other = spark.newSession()
+    assert read_mart(other, "episode_contacts", layer="intermediate").count() == 24
+    assert read_mart(other, "episode_outcomes", layer="intermediate").where("has_end_measure").count() == 8
+    assert read_mart(other, "service_locations", layer="reference").count() == 1
+    assert {row.name for row in other.catalog.listTables("intermediate")} == {"episode_contacts", "episode_outcomes"}
     assert spark.table("staging.episodes").count() == 24
     card = {r.provider_code: r for r in marts["kpi_provider_scorecard"].collect()}
     assert (card["A"].outcome_collection_rate, card["C"].referrals) == (1.0, None)
@@ -187,6 +191,55 @@ def test_a_failing_check_stops_the_build(spark, folders):
         pipeline.build(spark, raw, params, checks_on_marts=checks(params))
 
 
+def test_failing_checks_keep_their_tables_and_those_that_read_them(spark, folders, tmp_path):
+    raw, params = pipeline.read_raw(spark, *folders), Params()
+    pipeline.build(spark, raw, params, checks_on_marts=checks(params))
+    names = [mart.name for mart in pipeline.MARTS]
+    before = {name: current_version(spark, "marts", name) for name in names}
+    rows = read_mart(spark, "fct_episode").orderBy("episode_id").collect()
+    episodes = raw["fact_episode"]
+    doubled = raw | {"fact_episode": episodes.union(episodes.where("episode_id = 'E03'"))}
+    wrong = [replace(c, failing=lambda t: t["im01_pph"]) if c.name == "pph_rows_complete" else c for c in checks(params)]
+    message = "^pph_rows_complete: 60 failing rows; unique_episodes_episode_id: 1 failing rows$"
+    with pytest.raises(QualityGateError, match=message) as error:
+        pipeline.build(spark, doubled, params, str(tmp_path / "out"), checks_on_marts=wrong)
+    kept = {"fct_episode", "kpi_provider_quarterly", "kpi_provider_scorecard", "subregion_service_reach"}
+    kept |= {"im01_sa3", "peer_comparison", "criteria_check"}
+    assert error.value.held == ("episodes", "im01_pph") and set(error.value.skipped) == kept
+    after = {name: current_version(spark, "marts", name) for name in names}
+    assert {name for name in names if after[name] == before[name]} == {"im01_pph", *kept}
+    other = spark.newSession()
+    assert read_mart(other, "fct_episode").orderBy("episode_id").collect() == rows
+    assert read_mart(other, "kpi_provider_scorecard").count() == 3
+    assert read_mart(other, "episodes", layer="staging").count() == 24
+    exported = {packs.EXPORTS[name].table for name in os.listdir(tmp_path / "out")}
+    assert exported and not exported & {"im01_pph", *kept}
+
+    # The next good run replaces them, and leaves no more than two versions of each.
+    pipeline.build(spark, raw, params, checks_on_marts=checks(params))
+    assert all(current_version(spark, "marts", name) not in (before[name], after[name]) for name in names)
+    left = [row.tableName for row in spark.sql("SHOW TABLES IN marts LIKE 'fct_episode__v_*'").collect()]
+    assert current_version(spark, "marts", "fct_episode") in left and before["fct_episode"] in left and len(left) == 2
+
+
+def test_marts_stand_behind_what_they_read():
+    seen = set()
+    for wave in pipeline.mart_waves():
+        assert not {i for m in wave for i in m.inputs} & {m.name for m in wave}
+        assert {i for m in wave for i in m.inputs if i in {x.name for x in pipeline.MARTS}} <= seen
+        seen |= {m.name for m in wave}
+    assert len(seen) == 16
+
+
+def test_a_plain_table_makes_way_for_a_version(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS marts")
+    publish_table(spark.range(3), "marts", "moved")
+    assert current_version(spark, "marts", "moved") is None and current_version(spark, "marts", "none") is None
+    write_version(spark.range(5), "marts", "moved", "a")
+    assert swap_version(spark, "marts", "moved", "a").count() == 5
+    assert current_version(spark, "marts", "moved") == "moved__v_a"
+
+
 def test_declared_check_counts():
     params = Params()
     names = [c.name for c in pipeline.staging_checks(params) + pipeline.mart_checks(params)]
