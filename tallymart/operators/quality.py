@@ -111,6 +111,15 @@ def wrong_row_count(trend: DataFrame, geographies: Sequence[str], expected: int)
 RECONCILE_KEY = ("indicator_code", "geography_code", "fy_end_year", "category")
 
 
+def published_series(rates: DataFrame, published: DataFrame, category: str) -> DataFrame:
+    """The rates of those geographies and categories for which a value is published, all years of each.
+
+    A series must be whole for its prior and baseline values, so the year is no part of the choice.
+    """
+    named = published.select("geography_code", F.col("category").alias(category)).distinct()
+    return rates.join(named, ["geography_code", category], "left_semi")
+
+
 def unreconciled(published: DataFrame, trends: Mapping[str, DataFrame], tolerance: float) -> DataFrame:
     """Published values the marts miss by more than ``tolerance`` or do not have.
 

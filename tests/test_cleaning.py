@@ -196,3 +196,18 @@ def test_service_tables(spark):
         "measure_id string, episode_id string, measure string, collection_occasion string, collection_date string, score string",
     )
     assert [r.collection_occasion for r in cleaning.clean_measures(measures).collect()] == ["start", "end", None]
+
+
+def test_profile_of_long_values_fetches_the_most_frequent(spark):
+    rows = [("b" * 5000, 1)] * 3 + [("a" * 5000, 1)] * 2 + [(None, 2)] * 4 + [(f"once {k}", 3) for k in range(90)]
+    df = spark.createDataFrame(rows, "text string, n int").repartition(6)
+    plain = {(r.column_name, r.value): r.n for r in profile(df, ["text", "n"], k=200).collect()}
+    got = profile(df, ["text", "n"], k=60, long=["text"]).collect()
+    assert {(r.column_name, r.value): r.n for r in got}.items() <= plain.items()
+    texts = sorted((r for r in got if r.column_name == "text"), key=lambda r: r.value_rank)
+    assert [r.n for r in texts] == [4, 3, 2] + [1] * 57 and texts[0].value is None and texts[1].value == "b" * 5000
+    assert {(r.column_name, r.distinct_values, r.total_rows) for r in got} == {("text", 93, 99), ("n", 3, 99)}
+    first = profile(df, ["text"], long=["text"])._jdf.queryExecution().executedPlan().toString()
+    assert "md5" in first
+    with pytest.raises(ValueError):
+        profile(df, ["n"], long=["text"])

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -240,3 +242,26 @@ def test_areas_are_never_ranked_in_one_task(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert all("_slice" in line for line in plan.splitlines() if "rank(" in line)
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_an_area_with_two_names_has_a_row_for_each(spark):
+    rows = [(2018, "x", "One", 10.0), (2020, "x", "One", 12.0), (2020, "x", "Two", 30.0), (2020, "y", "New", 5.0)]
+    areas = spark.createDataFrame(rows, "fy_end_year int, area_code string, area_name string, rate_age_standardised double")
+    areas = areas.selectExpr("*", "'l' AS financial_year", "'s' AS subregion", "1.0D AS after_hours_rate_age_standardised", "false AS is_flagged")
+    references = spark.createDataFrame([(2018, 9.0, 9.0), (2020, 11.0, 10.0)], "fy_end_year int, unit_rate double, national_rate double")
+    services = spark.createDataFrame([("Two", "Clinic")], "area_name string, service_type string")
+    got = indicators.area_hotspots(areas, references, services, {"clinics": "Clinic"}, Params(baseline_fy=2018)).collect()
+    assert {(r.area_name, r.rate, r.baseline_rate, r.rank_highest_first, r.clinics) for r in got} == {
+        ("One", 12.0, 10.0, 2, 0), ("Two", 30.0, 10.0, 1, 1)
+    }
+
+
+def test_a_condition_without_a_group_stands_beside_nothing(spark):
+    rows = [(None, "U", 5.0), (None, "N", 3.0), ("g", "U", 5.0), ("g", "N", 3.0)]
+    table = spark.createDataFrame(rows, "pph_group string, geography_code string, measure_value double").selectExpr(
+        "*", "'c' AS pph_condition", "2020 AS fy_end_year", "'l' AS financial_year", "'rate_age_standardised' AS measure_type",
+        "'All persons' AS demographic_group", "false AS is_group_total", "cast(null AS string) AS flag",
+    )
+    codes = replace(Params().codes, unit="U", national="N", peer_group="P")
+    got = {r.pph_group: (r.unit_rate, r.national_rate, r.gap_to_national) for r in indicators.condition_gaps(table, codes).collect()}
+    assert got == {None: (5.0, None, None), "g": (5.0, 3.0, 2.0)}

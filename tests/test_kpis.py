@@ -216,3 +216,19 @@ def test_a_hot_provider_gives_the_same_kpis(spark, key, rows):
     hot = [episode(str(i), key, D(2026, 1, 1), D(2026, 1, 1) + dt.timedelta(i % 40)) for i in range(rows)]
     row = by(kpis.kpi_quarterly(fact_of(spark, hot), providers_of(spark, key, "cold")), "provider_code")[key]
     assert (row.referrals, row.median_days_to_first_contact) == (rows, 19.5)
+
+
+def test_a_missing_referral_quarter_has_a_row_for_each_provider(spark):
+    rows = [
+        episode("1", "A", D(2026, 1, 1), D(2026, 1, 5), risk=True),
+        episode("2", "A", None, D(2026, 1, 5), None, "Open"),
+        episode("3", "A", D(2026, 1, 2), D(2026, 1, 5), None, "Treatment concluded"),
+    ]
+    got = kpis.kpi_quarterly(fact_of(spark, rows), providers_of(spark, "A", "B")).collect()
+    assert sorted((r.provider_code, r.quarter_label or "") for r in got) == [
+        ("A", ""), ("A", "2026-Q1"), ("B", ""), ("B", "2026-Q1")
+    ]
+    # No quarter equals a missing one, so nothing is counted there: neither its referrals nor its completions.
+    for r in got:
+        if r.quarter is None:
+            assert (r.referrals, r.episodes_completed, r.median_days_to_first_contact, r.followup_7day_rate) == (0, 0, None, None)

@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallymart.functions.aggregates import joined_names, weighted_median
-from tallymart.functions.tables import keep_first, spread_rank, with_spine
+from tallymart.functions.tables import cut_points, keep_first, spread_rank, with_spine
 
 
 def test_keep_first_keeps_one_row_per_key_nulls_included(spark):
@@ -26,7 +26,7 @@ def test_spine_has_every_pair_and_no_cross_join(spark):
     entities = spark.createDataFrame([("a",), ("b",), ("c",)], "e string")
     periods = spark.createDataFrame([(1,), (2,), (2,), (None,)], "p int")
     spine = with_spine(entities, periods, "p")
-    assert {tuple(r) for r in spine.collect()} == {(e, p) for e in "abc" for p in (1, 2)}
+    assert sorted(map(str, spine.collect())) == sorted(f"Row(e='{e}', p={p})" for e in "abc" for p in (1, 2, None))
     plan = spine._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
@@ -48,6 +48,28 @@ def test_spread_rank_equals_the_window_rank(spark, descending):
     assert got.count() == len(rows)
 
 
+def test_cut_points_follow_from_the_values_alone(spark):
+    """The same cuts in any order and partitioning; about equal shares of the values between them."""
+    base = spark.range(40_000).selectExpr("id % 2 AS g", "pow(id, 3) AS v")
+    counted = base.groupBy("g", "v").agg(F.count("*").alias("_n"))
+    cuts = {r.g: r._cuts for r in cut_points(counted, ["g"], "v", 8).collect()}
+    mixed = counted.orderBy(F.rand(5)).repartition(13)
+    assert {r.g: r._cuts for r in cut_points(mixed, ["g"], "v", 8).collect()} == cuts
+    for g, own in cuts.items():
+        assert own == sorted(own) and len(own) == 7
+        below = [base.filter((F.col("g") == g) & (F.col("v") < c)).count() for c in own]
+        assert all(abs(n - 2500 * (k + 1)) < 600 for k, n in enumerate(below))
+
+
+def test_spread_rank_needs_no_written_table(spark):
+    df = spark.range(30_000).selectExpr("id", "1 AS y", "cast(id * 7919 % 10007 AS double) AS v")
+    got = spread_rank(df, ["y"], "v", "r")
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "spark_partition_id" not in plan.lower() and "parquet" not in plan.lower()
+    expected = df.withColumn("r", F.rank().over(Window.partitionBy("y").orderBy("v")).cast("long"))
+    assert got.exceptAll(expected).count() == 0 and got.count() == 30_000
+
+
 def test_spread_rank_of_whole_numbers_and_of_nothing(spark):
     df = spark.createDataFrame([(1, 2**60), (1, 2**60 + 1), (1, 2**60)], "y int, v long")
     assert sorted(r.r for r in spread_rank(df, ["y"], "v", "r").collect()) == [1, 1, 3]
