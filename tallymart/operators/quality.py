@@ -144,10 +144,14 @@ def unreconciled(published: DataFrame, trends: Mapping[str, DataFrame], toleranc
 def drift(committed: DataFrame, rebuilt: DataFrame) -> DataFrame:
     """Rows of only one side, copies counted, marked with the side they are on.
 
-    Both sides are counted in one aggregate on the whole row instead of two set differences.
+    Rows are counted by a 128-bit digest first, which is all that the first shuffle carries; whole rows travel where a
+    digest is out of balance.
     """
     columns = committed.columns
     sides = committed.withColumn("_side", F.lit(1)).unionByName(rebuilt.select(*columns).withColumn("_side", F.lit(-1)))
+    sides = sides.withColumn("_digest", _row_digest(sides, columns))
+    uneven = sides.groupBy("_digest").agg(F.sum("_side").alias("_surplus")).filter("_surplus <> 0").select("_digest")
+    sides = sides.join(uneven, "_digest", "left_semi")
     balance = sides.groupBy(*columns).agg(F.sum("_side").cast("long").alias("_surplus")).filter("_surplus <> 0")
     return balance.select(
         F.when(F.col("_surplus") > 0, F.lit("committed only")).otherwise(F.lit("rebuilt only")).alias("side"),
@@ -156,18 +160,33 @@ def drift(committed: DataFrame, rebuilt: DataFrame) -> DataFrame:
     )
 
 
+def _row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """MD5 of a row's values; zero and minus zero are one value, as in a group."""
+    kinds = dict(df.dtypes)
+    values = [F.col(c) + F.lit(0).cast(kinds[c]) if kinds[c] in ("double", "float") else F.col(c) for c in columns]
+    texts = [v.cast("string") if "<" not in kinds[c] else F.to_json(v) for c, v in zip(columns, values, strict=True)]
+    return F.unhex(F.md5(F.to_json(F.array(*texts))))
+
+
 # The suite.
 
 
 @dataclass(frozen=True)
 class Check:
-    """One named check of a table: a row condition, or a function to its failing rows, which may need more tables."""
+    """One named check of a table: a row condition, or a function to its failing rows, which may need more tables.
+
+    ``key`` says that the check asks for a key that no two rows share (null keys too, with ``nulls``), or that a row of
+    ``parent`` (table and column) has; such checks are counted with others in one pass.
+    """
 
     name: str
     table: str
     condition: Column | None = None
     failing: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None
     needs: tuple[str, ...] = ()
+    key: tuple[str, ...] = ()
+    nulls: bool = True
+    parent: tuple[str, str] | None = None
 
     def __post_init__(self):
         if (self.condition is None) == (self.failing is None):
@@ -190,11 +209,15 @@ def unique(table: str, column: str) -> Check:
         f"unique_{table}_{column}",
         table,
         failing=lambda t: duplicate_keys(t[table], [column], count_nulls=False),
+        key=(column,),
+        nulls=False,
     )
 
 
 def unique_combination(table: str, *columns: str) -> Check:
-    return Check(f"unique_combination_{table}", table, failing=lambda t: duplicate_keys(t[table], columns))
+    return Check(
+        f"unique_combination_{table}", table, failing=lambda t: duplicate_keys(t[table], columns), key=columns
+    )
 
 
 def related(table: str, column: str, parent: str, parent_column: str | None = None) -> Check:
@@ -203,39 +226,77 @@ def related(table: str, column: str, parent: str, parent_column: str | None = No
         table,
         failing=lambda t: orphans(t[table], column, t[parent], parent_column),
         needs=(parent,),
+        key=(column,),
+        nulls=False,
+        parent=(parent, parent_column or column),
     )
 
 
+def _audited(table: DataFrame, name: str, checks: Sequence[tuple[int, Check]]) -> DataFrame | None:
+    """What the numbered checks ask of a table, in one pass: (number, key, rows, parents), one row for each key that a row
+    holds or is parent to, and for each row condition that it fails."""
+
+    def asked(number: int, columns: Sequence[str], nulls: bool, rows: int, parents: int) -> Column:
+        key = F.to_json(F.array(*[F.col(c).cast("string") for c in columns]))
+        held = F.lit(True) if nulls else F.col(columns[0]).isNotNull()
+        return F.when(held, F.struct(F.lit(number), key, F.lit(rows), F.lit(parents)))
+
+    found = []
+    for number, check in checks:
+        if check.condition is not None and check.table == name:
+            found.append(F.when(check.condition, F.struct(F.lit(number), F.lit(""), F.lit(1), F.lit(0))))
+        if check.key and check.table == name:
+            found.append(asked(number, check.key, check.nulls, 1, 0))
+        if check.parent and check.parent[0] == name:
+            found.append(asked(number, check.parent[1:], False, 0, 1))
+    if not found:
+        return None
+    kind = "array<struct<number:int,key:string,rows:int,parents:int>>"
+    every = F.filter(F.array(*found).cast(kind), lambda x: x.isNotNull())
+    return table.select(F.explode(every).alias("asked")).select("asked.*")
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Report with the number of failing rows per check.
 
-    All row conditions of a table are counted in one pass over it; every other check is one count.
-    Only counts reach the report, never rows. No checks give an empty report.
+    Each table is read once for all its row conditions and keys, whether they must be unique in it, have a parent, or be
+    one. A key that fills a third of a table is counted within its tasks before the shuffle; nothing is joined. Every
+    other check is one count. Only counts reach the report, never rows. No checks give an empty report.
     """
-    if not checks:
-        return SparkSession.active().createDataFrame([], "check string, table string, failures long")
-    parts = []
-    by_table: dict[str, list[Check]] = {}
-    for check in checks:
-        if check.condition is not None:
-            by_table.setdefault(check.table, []).append(check)
-        else:
-            parts.append(
-                check.failing(tables).agg(F.count(F.lit(1)).alias("failures")).select(
-                    F.lit(check.name).alias("check"), F.lit(check.table).alias("table"), "failures"
-                )
-            )
-    for table, group in by_table.items():
-        counts = tables[table].agg(*[F.count_if(c.condition).alias(c.name) for c in group])
-        parts.append(
-            counts.unpivot([], [c.name for c in group], "check", "failures").select(
-                "check", F.lit(table).alias("table"), "failures"
+    spark, schema = SparkSession.active(), "check string, table string, failures long"
+    parts = [spark.createDataFrame([(c.name, c.table, 0) for c in checks], schema)]
+    numbered = [(k, c) for k, c in enumerate(checks) if c.condition is not None or c.key]
+    names = dict.fromkeys(n for _, c in numbered for n in (c.table, *(c.parent[:1] if c.parent else ())))
+    asked = [found for n in names if (found := _audited(tables[n], n, numbered)) is not None]
+    if asked:
+        every = asked[0]
+        for more in asked[1:]:
+            every = every.unionByName(more)
+        keys = every.groupBy("number", "key").agg(F.sum("rows").alias("rows"), F.max("parents").alias("parents"))
+        numbers = {
+            kind: [k for k, c in numbered if wanted(c)]
+            for kind, wanted in (
+                ("condition", lambda c: c.condition is not None),
+                ("parent", lambda c: c.parent is not None),
             )
+        }
+        failing = (
+            F.when(F.col("number").isin(*numbers["condition"]), F.col("rows"))
+            .when(F.col("number").isin(*numbers["parent"]), F.when(F.col("parents") == 0, F.col("rows")).otherwise(0))
+            .otherwise((F.col("rows") > 1).cast("long"))
         )
+        label = F.array(*[F.struct(F.lit(c.name).alias("check"), F.lit(c.table).alias("table")) for c in checks])
+        counts = keys.groupBy("number").agg(F.sum(failing).alias("failures"))
+        counts = counts.withColumn("label", F.get(label, F.col("number")))
+        parts.append(counts.select("label.check", "label.table", "failures"))
+    for check in checks:
+        if check.condition is None and not check.key:
+            counts = check.failing(tables).agg(F.count(F.lit(1)).alias("failures"))
+            parts.append(counts.select(F.lit(check.name).alias("check"), F.lit(check.table).alias("table"), "failures"))
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
-    return report
+    return report.groupBy("check", "table").agg(F.sum("failures").cast("long").alias("failures"))
 
 
 class QualityGateError(RuntimeError):

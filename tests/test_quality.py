@@ -135,3 +135,37 @@ def test_row_checks_share_one_pass(spark, sf_dir):
     checks = [*q.not_null("o", "o_orderkey", "o_custkey"), q.accepted("o", "o_orderstatus", ("F", "O", "P"))]
     plan = q.run_checks({"o": table}, checks)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("orders.parquet") == 1
+
+
+def test_key_checks_of_a_table_share_one_pass(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    checks = [
+        q.unique("o", "o_orderkey"), q.unique_combination("o", "o_custkey", "o_orderdate"), *q.not_null("o", "o_orderdate"),
+        q.related("o", "o_custkey", "c", "c_custkey"), q.related("o", "o_orderkey", "o", "o_custkey"), q.unique("c", "c_nationkey"),
+    ]
+    tables = {"o": orders, "c": customer}
+    report = q.run_checks(tables, checks)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") == 1 and plan.count("customer.parquet") == 1 and "Join" not in plan
+    got = {r.check: r.failures for r in report.collect()}
+    assert got == {c.name: c.rows(tables).count() for c in checks} and max(got.values()) > 0
+
+
+def test_keys_of_other_types_and_signs_do_not_meet(spark):
+    rows = [("a", None), ("a", "null"), ("[", '","'), ('","', "["), (None, None), (None, None)]
+    t = spark.createDataFrame(rows, "k string, v string")
+    p = spark.createDataFrame([("a",), (None,)], "k string")
+    checks = [q.unique_combination("t", "k", "v"), q.unique("t", "v"), q.related("t", "k", "p")]
+    got = {r.check: r.failures for r in q.run_checks({"t": t, "p": p}, checks).collect()}
+    assert got == {"unique_combination_t": 1, "unique_t_v": 0, "relationships_t_k": 2}
+    assert q.run_checks({}, []).count() == 0
+
+
+def test_drift_shuffles_digests_before_rows(spark):
+    wide = spark.range(200).selectExpr("id", "repeat(cast(id AS string), 50) AS text", "if(id % 2 = 0, 0.0D, -0.0D) AS v", "array(id) AS a")
+    other = wide.where("id <> 7").withColumn("v", F.col("v") * -1)
+    got = q.drift(wide, other.union(wide.where("id = 9")))
+    assert {(r.side, r.id, r.copies) for r in got.collect()} == {("committed only", 7, 1), ("rebuilt only", 9, 1)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(_digest" in plan
