@@ -1,0 +1,154 @@
+"""Published exports recomputed from their own raw columns.
+
+TALLYMART_EXPORTS names a folder of exports as CSV under the names of ``packs.EXPORTS``; without it these tests are
+skipped. Each operator gets the raw columns of a file and has to give back every row and every derived column.
+"""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallymart import GeographyCodes, Params
+from tallymart.operators import indicators
+from tallymart.plans import packs
+
+FOLDER = os.environ.get("TALLYMART_EXPORTS", "")
+CODES = GeographyCodes()
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="TALLYMART_EXPORTS names no folder")
+
+TREND = "indicator_code string, financial_year string, fy_end_year int, geography_code string, rate double, " \
+    "change_pct_year_on_year double, change_pct_since_baseline double"
+
+
+def export(spark, name, columns):
+    """The file's columns by position, under the operator's names."""
+    frame = spark.read.csv(f"{FOLDER}/{name}.csv", header=True, inferSchema=True)
+    assert len(frame.columns) == len(columns)
+    return frame.toDF(*columns)
+
+
+def end_year(label):
+    """'2017-18' -> 2018."""
+    return (F.substring(label, 1, 4).cast("int") + 1).alias("fy_end_year")
+
+
+def same_rows(got, published):
+    """All rows and columns, numbers as doubles: a CSV does not tell 1.0 from 1."""
+
+    def rows(frame):
+        plain = [
+            F.col(name).cast("double") if kind in ("int", "bigint", "double") else F.col(name).cast("string")
+            for name, kind in frame.select(*published.columns).dtypes
+        ]
+        return sorted((tuple(row) for row in frame.select(*plain).collect()), key=repr)
+
+    assert set(got.columns) == set(published.columns)
+    found, expected = rows(got), rows(published)
+    assert expected and found == expected
+
+
+def test_age_trend(spark):
+    columns = ["financial_year", "fy_end_year", "geography_code", "geography_name", "age_group", "crude_rate",
+               "change_pct_since_baseline", "change_pct_year_on_year"]
+    published = export(spark, "im01_age", columns)
+    raw = published.select(
+        *columns[:4],
+        F.col("age_group").alias("demographic_group"),
+        F.col("crude_rate").alias("measure_value"),
+        F.lit("rate_crude").alias("measure_type"),
+        F.lit("Total PPH").alias("pph_condition"),
+    )
+    same_rows(indicators.age_trend(raw, CODES), published)
+
+
+def test_area_trend(spark):
+    columns = ["fy_end_year", "financial_year", "area_code", "area_name", "subregion", "rate", "flag", "baseline_rate",
+               "change_pct_since_baseline", "unit_rate", "national_rate", "rank_highest_first"]
+    published = export(spark, "im01_sa3", columns)
+    references = published.select("fy_end_year", "unit_rate", "national_rate").distinct()
+    same_rows(indicators.area_trend(published.select(*columns[:7]), references), published)
+
+
+def test_condition_gaps(spark):
+    columns = ["financial_year", "pph_group", "pph_condition", "unit_rate", "peer_group_rate", "national_rate",
+               "gap_to_peer_group", "gap_to_national", "unit_flag"]
+    published = export(spark, "im01_conditions", columns)
+    sides = {CODES.unit: "unit_rate", CODES.peer_group: "peer_group_rate", CODES.national: "national_rate"}
+    raw = [
+        published.select(
+            *columns[:3],
+            end_year("financial_year"),
+            F.lit(code).alias("geography_code"),
+            F.col(rate).cast("double").alias("measure_value"),
+            (F.col("unit_flag") if code == CODES.unit else F.lit(None)).cast("string").alias("flag"),
+            F.lit("rate_age_standardised").alias("measure_type"),
+            F.lit("All persons").alias("demographic_group"),
+            F.lit(False).alias("is_group_total"),
+        )
+        for code, rate in sides.items()
+    ]
+    same_rows(indicators.condition_gaps(raw[0].unionByName(raw[1]).unionByName(raw[2]), CODES), published)
+
+
+def test_hotspots(spark):
+    columns = ["financial_year", "area_code", "area_name", "subregion", "rate", "baseline_rate",
+               "change_pct_since_baseline", "after_hours_rate", "unit_rate", "national_rate", "ratio_to_unit",
+               "rank_highest_first", *packs.SERVICE_TYPES, "is_hotspot", "comparability_flag"]
+    published = export(spark, "im02_sa3_hotspots", columns)
+    areas = export(
+        spark, "im02_sa3", ["financial_year", "fy_end_year", "area_code", "area_name", "subregion", *packs.AREA_COLUMNS, "is_flagged"]
+    )
+    services = spark.read.csv(f"{FOLDER}/service_locations.csv", header=True)
+    services = services.select("service_type", F.col(services.columns[3]).alias("area_name"))
+    references = published.select(end_year("financial_year"), "unit_rate", "national_rate").distinct()
+    same_rows(indicators.area_hotspots(areas, references, services, packs.SERVICE_TYPES, Params()), published)
+
+
+def test_peer_comparison(spark):
+    columns = ["indicator_code", "financial_year", "geography_code", "geography_name", "is_reported_unit", "is_neighbour",
+               "rate", "change_pct_since_baseline", "rank_lowest_first", "peer_count", "peer_median", "peer_group_rate",
+               "national_rate"]
+    published = export(spark, "peer_comparison", columns)
+    units = published.select(
+        *columns[:8],
+        end_year("financial_year"),
+        F.lit(CODES.unit_level).alias("geography_level"),
+        F.lit(CODES.peer_group_name).alias("peer_group"),
+    )
+    for code, level, value in (
+        (CODES.peer_group, CODES.group_level, "peer_group_rate"),
+        (CODES.national, CODES.national_level, "national_rate"),
+    ):
+        beside = units.select("indicator_code", "financial_year", "fy_end_year").distinct().join(
+            published.select("indicator_code", F.col(value).alias("rate")).distinct(), "indicator_code"
+        )
+        units = units.unionByName(
+            beside.withColumns({"geography_code": F.lit(code), "geography_level": F.lit(level)}), allowMissingColumns=True
+        )
+    same_rows(indicators.peer_comparison([units], CODES), published)
+
+
+def test_criteria_check(spark):
+    columns = ["indicator_code", "criterion_level", "financial_year", "fy_end_year", "unit_value", "national_value",
+               "unit_change_pct_year_on_year", "national_change_pct_year_on_year", "unit_change_pct_since_baseline",
+               "national_change_pct_since_baseline", "is_met_year_on_year", "is_met_since_baseline", "pack_status",
+               "is_latest_year"]
+    published = export(spark, "criteria_check", columns)
+    rows = published.collect()
+    judged = {row.indicator_code for row in rows if row.criterion_level == CODES.unit_level}
+
+    def trend(with_unit):
+        found = set()
+        for row in rows:
+            if (row.indicator_code in judged) != with_unit:
+                continue
+            key = (row.indicator_code, row.financial_year, row.fy_end_year)
+            found.add(
+                (*key, CODES.national, row.national_value, row.national_change_pct_year_on_year, row.national_change_pct_since_baseline)
+            )
+            if row.criterion_level == CODES.unit_level:
+                found.add((*key, CODES.unit, row.unit_value, row.unit_change_pct_year_on_year, row.unit_change_pct_since_baseline))
+        return spark.createDataFrame(sorted(found), TREND)
+
+    same_rows(indicators.criteria_check(trend(True), trend(False), Params()), published)
