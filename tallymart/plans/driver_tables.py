@@ -302,6 +302,15 @@ def per_thousand(count: str, population: str) -> Column:
     return published(ratio(F.col(count) * F.lit(1000.0), F.col(population)))
 
 
+def with_others(rows: DataFrame, **others: object) -> DataFrame:
+    """Every row again for each given column, with the other value there and a higher measure: rows to be filtered out."""
+    own = {name: F.col(name) for name in (*others, "measure_value")}
+    higher = F.coalesce("measure_value", F.lit(0.0)) + F.lit(1.0)
+    variants = [own] + [own | {name: F.lit(other), "measure_value": higher} for name, other in others.items()]
+    entries = F.array(*[F.struct(*[value.alias(name) for name, value in row.items()]) for row in variants])
+    return rows.select(*[name for name in rows.columns if name not in own], F.inline(entries)).select(*rows.columns)
+
+
 def customers_by_nation(t: DriverTables) -> DataFrame:
     return t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("population"))
 
@@ -335,7 +344,7 @@ def ed_indicator(t: DriverTables) -> DataFrame:
             for name, band, kind, value in rows
         ]
     )
-    return wide.select(
+    long = wide.select(
         "fy_end_year",
         "financial_year",
         "geography_level",
@@ -345,6 +354,7 @@ def ed_indicator(t: DriverTables) -> DataFrame:
         F.lit(packs.LOWER_URGENCY_TRIAGE).alias("triage_category"),
         F.inline(entries),
     ).withColumn("is_flagged", F.col("measure_value").isNull())
+    return with_others(long, triage_category="All", geography_level=CODES.area_level)
 
 
 def suppliers_by_nation(t: DriverTables) -> DataFrame:
@@ -385,7 +395,7 @@ def pph_totals(t: DriverTables) -> DataFrame:
             for label, c in names.items()
         ]
     )
-    return (
+    long = (
         wide.select("*", F.inline(entries))
         .withColumns(
             {
@@ -398,6 +408,9 @@ def pph_totals(t: DriverTables) -> DataFrame:
         )
         .select(*PPH_COLUMNS)
     )
+    return with_others(
+        long, demographic_group="65+", pph_condition="Angina", measure_type="rate_crude", geography_level=CODES.area_level
+    )
 
 
 def pph_conditions(t: DriverTables) -> DataFrame:
@@ -415,7 +428,7 @@ def pph_conditions(t: DriverTables) -> DataFrame:
     )
     wide = at_all_levels(t, by_nation, ["fy_end_year", "pph_group", "pph_condition"], ["lines"])
     value = published(F.col("lines") * F.lit(2.5), turn=F.ascii(F.right("pph_condition", F.lit(1))))
-    return wide.withColumns(
+    long = wide.withColumns(
         {
             "demographic_group": F.lit("All persons"),
             "is_group_total": F.lit(False),
@@ -424,6 +437,7 @@ def pph_conditions(t: DriverTables) -> DataFrame:
             "flag": F.when(value.isNull(), "n.p."),
         }
     ).select(*PPH_COLUMNS)
+    return with_others(long, demographic_group="65+", is_group_total=True, measure_type="rate_crude")
 
 
 def pph_ages(t: DriverTables) -> DataFrame:
@@ -444,7 +458,7 @@ def pph_ages(t: DriverTables) -> DataFrame:
     )
     wide = at_all_levels(t, by_nation, ["fy_end_year", "demographic_group"], ["orders", "population"])
     value = per_thousand("orders", "population")
-    return wide.withColumns(
+    long = wide.withColumns(
         {
             "pph_group": F.lit("Total"),
             "pph_condition": F.lit("Total PPH"),
@@ -454,6 +468,9 @@ def pph_ages(t: DriverTables) -> DataFrame:
             "flag": F.when(value.isNull(), "n.p."),
         }
     ).select(*PPH_COLUMNS)
+    return with_others(
+        long, demographic_group="All persons", pph_condition="Angina", measure_type="rate_age_standardised"
+    )
 
 
 # Areas.
@@ -495,7 +512,7 @@ def wide_areas(years: DataFrame) -> DataFrame:
 def area_indicator(years: DataFrame) -> DataFrame:
     """Clean long indicator at area level: one rate per supplier and year."""
     value = ratio(F.col("price"), F.col("lines"))
-    return years.select(
+    long = years.select(
         "fy_end_year",
         fy_label(F.col("fy_end_year")).alias("financial_year"),
         F.lit(CODES.area_level).alias("geography_level"),
@@ -507,6 +524,9 @@ def area_indicator(years: DataFrame) -> DataFrame:
         value.alias("measure_value"),
         F.when(F.col("is_flagged"), "*").alias("flag"),
     )
+    return with_others(
+        long, geography_level=CODES.unit_level, demographic_group="65+", pph_condition="Angina", measure_type="rate_crude"
+    )
 
 
 def reference_rates(years: DataFrame) -> DataFrame:
